@@ -202,7 +202,12 @@ def fold_cut_lines(parts: list[dict]) -> list[int]:
 def _join_cut_lines(batches):
     for b in batches:
         outs = [fold_cut_lines(parts) for parts in b.column("parts").to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column("chunk_id"), pa.array(outs, _F)], names=["chunk_id", "totals"])
+        yield pa.RecordBatch.from_arrays([b.column("chunk_id"), pa.array(outs, _F)], names=["chunk_id", "seam"])
+
+
+def seam_totals(ends: DataFrame) -> DataFrame:
+    """(chunk_id, seam) from (chunk_id, parts): the counts of lines that were cut between pieces."""
+    return ends.mapInArrow(_join_cut_lines, "chunk_id long, seam array<long>")
 
 
 def partials(pieces_df: DataFrame) -> DataFrame:
@@ -212,16 +217,15 @@ def partials(pieces_df: DataFrame) -> DataFrame:
 def merge(parts: DataFrame) -> DataFrame:
     """Counts per chunk_id. Pieces delivered twice count once; cut lines are joined in piece order."""
     one = parts.groupBy("chunk_id", "piece").agg(*[F.any_value(c).alias(c) for c in ("totals", "head", "tail", "through")])
-    seam = (
+    seam = seam_totals(
         one.where(F.col("head").isNotNull() | F.col("tail").isNotNull())
         .groupBy("chunk_id").agg(F.sort_array(F.collect_list(F.struct("piece", "head", "tail", "through"))).alias("parts"))
-        .mapInArrow(_join_cut_lines, "chunk_id long, totals array<long>")
-    )
+    ).withColumnRenamed("seam", "totals")
     rows = one.select("chunk_id", "totals").unionByName(seam)
     return rows.groupBy("chunk_id").agg(*[F.sum(F.element_at("totals", i + 1)).alias(n) for i, n in enumerate(Counts.NAMES)])
 
 
-def verdict(counts: DataFrame) -> DataFrame:
+def verdict(counts: DataFrame, *more: str) -> DataFrame:
     """Ratios and verdict from the counts; open characters follow the larger judged part."""
     other = F.col("other_chars") + F.when(F.col("other_chars") > F.col("prose_chars"), F.col("open_chars")).otherwise(F.lit(0))
     total = F.col("other_chars") + F.col("prose_chars") + F.col("open_chars")
@@ -233,7 +237,7 @@ def verdict(counts: DataFrame) -> DataFrame:
         ratio(F.col("n_ended"), F.col("n_lines")).alias("ended_lines_ratio"),
         ratio(F.col("n_common"), F.col("n_words")).alias("common_words_ratio"),
         ratio(other, total).alias("other_ratio"),
-        F.when(total == 0, None).when(other * 2 > total, "other").otherwise("prose").alias("verdict"),
+        F.when(total == 0, None).when(other * 2 > total, "other").otherwise("prose").alias("verdict"), *more,
     )
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..session import table
-from . import boilerplate, mixing, pieces, quality, splits
+from . import boilerplate, language, mixing, pieces, quality, splits
 
 
 def _chunks(spark, d):
@@ -60,6 +60,18 @@ def p6_pieces(spark, d):
     return pieces.split_texts(_chunks(spark, d))
 
 
+def p7_found(spark, d):
+    return language.unstated(_chunks(spark, d), table(spark, d, "skipped_non_english"))
+
+
+def p7_languages(spark, d):
+    return language.labelled(_chunks(spark, d), table(spark, d, "skipped_non_english"))
+
+
+def p7_stretches(spark, d):
+    return language.stretches(_chunks(spark, d), table(spark, d, "skipped_non_english"))
+
+
 QUERIES = {k: v for k, v in dict(globals()).items() if k[0] == "p" and k[1].isdigit()}
 
 ORACLE = {
