@@ -282,17 +282,7 @@ def labelled(chunks: DataFrame, log: DataFrame) -> DataFrame:
     run, langs = _partial(chunks.sparkSession.sparkContext.broadcast(vocab))  # at most 1,500 words of each of the SPELLINGS
     clean = boilerplate.strip(chunks.select("chunk_id", "source_dataset", "text"), arrays)
     parts = quality.pieces(clean).mapInArrow(run, quality.PARTIAL + ", words array<long>, weight array<double>")
-    # pieces of a text are few; those of most texts are one, so the counts are joined in one grouping
-    firsts = parts.groupBy("chunk_id", "piece").agg(*[F.any_value(c).alias(c) for c in ("totals", "head", "tail", "through", "words", "weight")])
-    sums = [F.sum(F.element_at(c, i + 1)).alias(f"{c}{i}") for c in ("words", "weight") for i in range(len(langs))]
-    counts = [F.sum(F.element_at("totals", i + 1)).alias(n) for i, n in enumerate(quality.Counts.NAMES)]
-    cut = F.collect_list(F.when(F.col("head").isNotNull() | F.col("tail").isNotNull(), F.struct("piece", "head", "tail", "through"))).alias("parts")
-    per = firsts.groupBy("chunk_id").agg(*sums, *counts, cut)
-    seam = quality.seam_totals(per.where(F.size("parts") > 0).select("chunk_id", F.sort_array("parts").alias("parts")))
-    whole = per.where(F.size("parts") == 0).drop("parts").unionByName(
-        per.where(F.size("parts") > 0).drop("parts").join(seam, "chunk_id").select(
-            "chunk_id", *[f"{c}{i}" for c in ("words", "weight") for i in range(len(langs))],
-            *[(F.col(n) + F.element_at("seam", i + 1)).alias(n) for i, n in enumerate(quality.Counts.NAMES)]))
+    whole = quality.merge(parts, words=len(langs), weight=len(langs))
     total = sum(F.col(f"words{i}") for i in range(len(langs)))
     rows = F.array(*[F.struct(F.lit(x).alias("language"), F.col(f"words{i}").alias("w"), F.col(f"weight{i}").alias("c")) for i, x in enumerate(langs)])
     verdicts = quality.verdict(whole.select("chunk_id", *quality.Counts.NAMES, total.alias("all_words"), rows.alias("rows")), "all_words", "rows")

@@ -17,7 +17,7 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 PIECE = 65_536
 
@@ -37,10 +37,13 @@ ALL_COMMON = frozenset(w for ws in COMMON.values() for w in ws.split())
 PLAIN_MARKS = ".,;:!?'\"-()…—–«»„“”‘’‹›¿¡"
 
 WORD = re.compile(r"[^\W\d_]+")
+WORD_OR_NUMBER = re.compile(r"[^\W_]+")
 NUMBER = re.compile(r"\d+")
 LEADER = re.compile(r"\.{4,}|(?:\. ){4,}|_{4,}")
 LABEL = re.compile(r"^\W*[^\W\d_][\w' ]{0,30}:\s+\S")
-_STRIP = PLAIN_MARKS + "*_[]{}<>|/\\~"
+SYMBOL = re.compile("[^\\w\\s" + re.escape(PLAIN_MARKS) + "]|_")
+#: a letter beside a digit, or a capital after a small letter
+BROKEN_WORD = re.compile(r"[^\W\d_]\d|\d[^\W\d_]|[a-z][A-Z]")
 
 # positions in a line's additive feature vector
 CHARS, WORDS, LETTERS, COMMON_WORDS, NUMBERS, SYMBOLS, TOKENS, BROKEN, LONG, COMMAS, LEADERS, LABELS, ENDED = range(13)
@@ -49,25 +52,17 @@ CHARS, WORDS, LETTERS, COMMON_WORDS, NUMBERS, SYMBOLS, TOKENS, BROKEN, LONG, COM
 def line_features(line: str) -> list[int]:
     s = line.strip()
     words = WORD.findall(s.lower())
-    letters = sum(map(len, words))
     tokens = s.split()
-    numbers = NUMBER.findall(s)
-    digits = sum(map(len, numbers))
-    plain = sum(map(s.count, PLAIN_MARKS))
-    spaces = len(s) - sum(map(len, tokens))
     broken = long = 0
-    for t in tokens:
-        if len(t) > 32:
-            if len(WORD.findall(t)) < 2 or not any(c in t for c in "-—…."):
-                long += len(t)
-        c = t.strip(_STRIP)
-        if c and not (c.islower() or c.istitle() or c.isupper() or c.isdigit()) and (not c.isalpha() or c[1:] != c[1:].lower()):
-            if not (c.replace("-", "").replace("'", "").replace("’", "").isalpha() and c[1:] == c[1:].lower()):
-                broken += 1
+    if tokens and max(map(len, tokens)) > 32:
+        long = sum(len(t) for t in tokens if len(t) > 32 and (len(WORD.findall(t)) < 2 or not any(c in t for c in "-—….")))
+    if BROKEN_WORD.search(s):
+        broken = sum(1 for t in tokens if BROKEN_WORD.search(t))
     return [
-        len(line) + 1, len(words), letters, sum(1 for w in words if w in ALL_COMMON), len(numbers),
-        max(0, len(s) - letters - digits - plain - spaces), len(tokens), broken, long, s.count(","),
-        len(LEADER.findall(s)), 1 if LABEL.match(s) else 0, 1 if s and s[-1] in ".!?…\"'”’»;,-—:" else 0,
+        len(line) + 1, len(words), sum(map(len, words)), sum(map(ALL_COMMON.__contains__, words)), len(NUMBER.findall(s)),
+        len(SYMBOL.findall(s)), len(tokens), broken, long, s.count(","),
+        len(LEADER.findall(s)) if ".." in s or ". ." in s or "__" in s else 0,
+        1 if ":" in s and LABEL.match(s) else 0, 1 if s and s[-1] in ".!?…\"'”’»;,-—:" else 0,
     ]
 
 
@@ -199,30 +194,30 @@ def fold_cut_lines(parts: list[dict]) -> list[int]:
     return totals
 
 
-def _join_cut_lines(batches):
-    for b in batches:
-        outs = [fold_cut_lines(parts) for parts in b.column("parts").to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column("chunk_id"), pa.array(outs, _F)], names=["chunk_id", "seam"])
-
-
-def seam_totals(ends: DataFrame) -> DataFrame:
-    """(chunk_id, seam) from (chunk_id, parts): the counts of lines that were cut between pieces."""
-    return ends.mapInArrow(_join_cut_lines, "chunk_id long, seam array<long>")
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _seam(parts: pa.Array) -> pa.Array:
+    return pa.array([fold_cut_lines(p) if p else None for p in parts.to_pylist()], _F)
 
 
 def partials(pieces_df: DataFrame) -> DataFrame:
     return pieces_df.mapInArrow(_partial, PARTIAL)
 
 
-def merge(parts: DataFrame) -> DataFrame:
-    """Counts per chunk_id. Pieces delivered twice count once; cut lines are joined in piece order."""
-    one = parts.groupBy("chunk_id", "piece").agg(*[F.any_value(c).alias(c) for c in ("totals", "head", "tail", "through")])
-    seam = seam_totals(
-        one.where(F.col("head").isNotNull() | F.col("tail").isNotNull())
-        .groupBy("chunk_id").agg(F.sort_array(F.collect_list(F.struct("piece", "head", "tail", "through"))).alias("parts"))
-    ).withColumnRenamed("seam", "totals")
-    rows = one.select("chunk_id", "totals").unionByName(seam)
-    return rows.groupBy("chunk_id").agg(*[F.sum(F.element_at("totals", i + 1)).alias(n) for i, n in enumerate(Counts.NAMES)])
+def merge(parts: DataFrame, **arrays: int) -> DataFrame:
+    """Counts per chunk_id, and element-wise sums of further array columns (name=length).
+
+    Pieces delivered twice count once; cut lines are joined in piece order. One pass over the
+    texts: the boundary states ride along and are empty for all but the longest texts.
+    """
+    extra = list(arrays)
+    one = parts.groupBy("chunk_id", "piece").agg(*[F.any_value(c).alias(c) for c in ("totals", "head", "tail", "through", *extra)])
+    ends = F.when(F.col("head").isNotNull() | F.col("tail").isNotNull(), F.struct("piece", "head", "tail", "through"))
+    sums = [F.sum(F.element_at("totals", i + 1)).alias(n) for i, n in enumerate(Counts.NAMES)]
+    sums += [F.sum(F.element_at(c, i + 1)).alias(f"{c}{i}") for c, n in arrays.items() for i in range(n)]
+    per = one.groupBy("chunk_id").agg(*sums, F.sort_array(F.collect_list(ends)).alias("parts")).withColumn("seam", _seam("parts"))
+    return per.select(
+        "chunk_id", *[(F.col(n) + F.coalesce(F.element_at("seam", i + 1), F.lit(0))).alias(n) for i, n in enumerate(Counts.NAMES)],
+        *[f"{c}{i}" for c, n in arrays.items() for i in range(n)])
 
 
 def verdict(counts: DataFrame, *more: str) -> DataFrame:
