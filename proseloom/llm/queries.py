@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..session import table
-from . import boilerplate, language, mixing, pieces, quality, splits
+from . import boilerplate, encoding, language, leakage, mixing, pieces, quality, splits
 
 
 def _chunks(spark, d):
@@ -18,6 +20,14 @@ def p1_split_report(spark, d):
     return splits.report(_chunks(spark, d))
 
 
+def p2_found(spark, d):
+    return leakage.overlaps(_chunks(spark, d))
+
+
+def p2_report(spark, d):
+    return leakage.report(_chunks(spark, d))
+
+
 def p3_stats(spark, d):
     chunks = _chunks(spark, d)
     return quality.stats(chunks, boilerplate.node_arrays(boilerplate.nodes(chunks)))
@@ -72,6 +82,17 @@ def p7_stretches(spark, d):
     return language.stretches(_chunks(spark, d), table(spark, d, "skipped_non_english"))
 
 
+def p8_ids(spark, d):
+    return encoding.encode(table(spark, d, "documents"))
+
+
+def p8_lengths(spark, d):
+    """Tokens, distinct texts and tokens per character by source."""
+    docs = table(spark, d, "documents")
+    both = encoding.encode(docs).join(docs.select("doc_id", "source", F.length(F.coalesce("text", F.lit(""))).alias("n")), "doc_id")
+    return both.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum(F.size("ids")).alias("n_tokens"), F.sum("n").alias("n_chars"))
+
+
 QUERIES = {k: v for k, v in dict(globals()).items() if k[0] == "p" and k[1].isdigit()}
 
 ORACLE = {
