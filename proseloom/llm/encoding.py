@@ -74,7 +74,7 @@ class Encoder:
 
     def _short(self, words: list[bytes]) -> list[np.ndarray]:
         start = self._rows(words)  # noqa: F841
-        got = self.con.execute("""
+        got = self.con.sql("""
 WITH RECURSIVE s AS (
   SELECT 0 AS step, w, pos, tok FROM start
   UNION ALL

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import boilerplate, encoding, language, leakage, mixing, pieces, quality, splits
+from . import boilerplate, contamination, encoding, language, leakage, mixing, pieces, quality, splits
 
 
 def _chunks(spark, d):
@@ -93,6 +93,20 @@ def p8_lengths(spark, d):
     return both.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum(F.size("ids")).alias("n_tokens"), F.sum("n").alias("n_chars"))
 
 
+def p9_found(spark, d):
+    return p9_leaks(spark, d).select("doc_id", "item_id").distinct()
+
+
+def p9_leaks(spark, d):
+    return contamination.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p9_report(spark, d):
+    """Leaked documents and the longest held passage of each test item that leaked."""
+    suites = table(spark, d, "eval_items").select("item_id", "suite")
+    return p9_leaks(spark, d).groupBy("item_id").agg(F.count_distinct("doc_id").alias("n_docs"), F.max("n_words").alias("most_words")).join(suites, "item_id")
+
+
 QUERIES = {k: v for k, v in dict(globals()).items() if k[0] == "p" and k[1].isdigit()}
 
 ORACLE = {
