@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import boilerplate, contamination, encoding, language, leakage, mixing, pieces, quality, splits
+from . import boilerplate, contamination, encoding, language, leakage, mixing, pieces, quality, splits, subjects
 
 
 def _chunks(spark, d):
@@ -107,6 +107,22 @@ def p9_report(spark, d):
     return p9_leaks(spark, d).groupBy("item_id").agg(F.count_distinct("doc_id").alias("n_docs"), F.max("n_words").alias("most_words")).join(suites, "item_id")
 
 
+def _p10(spark, d, what):
+    return what(table(spark, d, "documents"), table(spark, d, "subjects"), table(spark, d, "subject_labels"))
+
+
+def p10_found(spark, d):
+    return p10_subjects(spark, d).where(F.col("share") >= subjects.SHARE).select("doc_id", "subject").distinct()
+
+
+def p10_subjects(spark, d):
+    return _p10(spark, d, subjects.about)
+
+
+def p10_composition(spark, d):
+    return _p10(spark, d, subjects.composition)
+
+
 QUERIES = {k: v for k, v in dict(globals()).items() if k[0] == "p" and k[1].isdigit()}
 
 ORACLE = {
