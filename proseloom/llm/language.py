@@ -144,8 +144,8 @@ def segments(text: str) -> list[list[str]]:
     return out
 
 
-def parse(parser: Parser, texts: list[str]):
-    """(text index, words, language index, confidence) arrays, a row per segment in order."""
+def parse(parser: Parser, texts: list[str], common: bool = False):
+    """(text index, words, language index, confidence) arrays, a row per segment in order; and the segments' common words if asked."""
     owner, sizes, flat = [], [], []
     for i, t in enumerate(texts):
         for seg in segments(t):
@@ -154,7 +154,7 @@ def parse(parser: Parser, texts: list[str]):
             flat.extend(seg)
     if not sizes:
         z = np.zeros(0, dtype=np.int64)
-        return z, z, z, np.zeros(0)
+        return (z, z, z, np.zeros(0), z) if common else (z, z, z, np.zeros(0))
     codes, names = pd.factorize(np.array(flat, dtype=object))
     table = parser.costs(names)
     sizes = np.array(sizes, dtype=np.int64)
@@ -176,6 +176,9 @@ def parse(parser: Parser, texts: list[str]):
     after = np.minimum.accumulate(rev[::-1])[::-1]
     after = np.where((after < len(best)) & (owner[np.minimum(after, len(best) - 1)] == owner), after, -1)
     src = np.where(before >= 0, before, np.where(after >= 0, after, np.arange(len(best))))
+    if common:
+        known = np.fromiter((w in quality.ALL_COMMON for w in names), dtype=np.int64, count=len(names))
+        return owner, sizes, best[src], sure, np.add.reduceat(known[codes], starts)
     return owner, sizes, best[src], sure
 
 
@@ -230,11 +233,14 @@ def train(rows: list[tuple[str, str]]) -> dict[str, list[str]]:
 def training_rows(chunks: DataFrame, log: DataFrame) -> list[tuple[str, str]]:
     """The bounded sample, prose only: at most SAMPLE + DEFAULTS rows of at most MAX_TRAIN_CHARS characters each."""
     labels = stated(log)
-    fit = chunks.where(F.col("text").isNotNull() & (F.length("text") <= MAX_TRAIN_CHARS)).select("chunk_id", "text")
+    fits = F.col("text").isNotNull() & (F.length("text") <= MAX_TRAIN_CHARS)
     order = F.xxhash64("chunk_id")
-    some = fit.join(labels.where("stated is not null"), "chunk_id").orderBy(order, "chunk_id").limit(SAMPLE).collect()
-    plain = fit.join(labels, "chunk_id", "left_anti").orderBy(order, "chunk_id").limit(DEFAULTS).collect()
-    rows = {r.chunk_id: (r.stated, r.text) for r in some} | {r.chunk_id: (DEFAULT, r.text) for r in plain}
+    # ids are chosen first, so that no text is shuffled for it; at most SAMPLE and DEFAULTS ids are broadcast
+    known = labels.where("stated is not null").orderBy(order, "chunk_id").limit(SAMPLE)
+    other = chunks.where(fits).select("chunk_id").join(labels, "chunk_id", "left_anti").distinct().orderBy(order, "chunk_id").limit(DEFAULTS)
+    picked = known.unionByName(other.withColumn("stated", F.lit(DEFAULT)))
+    some = chunks.where(fits).select("chunk_id", "text").join(F.broadcast(picked), "chunk_id").collect()
+    rows = {r.chunk_id: (r.stated, r.text) for r in some}
     keep = []
     for _, (label, text) in sorted(rows.items()):
         totals, *_ = quality.Counts.of(text, False, False)
@@ -261,14 +267,16 @@ def _partial(vocab_bc):
         parser = _parser(vocab_bc.value)
         for b in batches:
             d = b.to_pydict()
-            owner, sizes, lang, sure = parse(parser, d["text"])
+            owner, sizes, lang, sure, common = parse(parser, d["text"], True)
             n, k = len(d["text"]), len(langs)
+            n_words, n_common = np.bincount(owner, sizes, n), np.bincount(owner, common, n)
+            prose = [quality.plainly_prose(t, w, c) for t, w, c in zip(d["text"], n_words.tolist(), n_common.tolist())]
             words = np.zeros((n, k), dtype=np.int64)
             np.add.at(words, (owner, lang), sizes)
             weight = np.zeros((n, k))
             np.add.at(weight, (owner, lang), sizes * sure)
             yield pa.RecordBatch.from_arrays(
-                [b.column("chunk_id"), b.column("piece"), *quality.partial_arrays(d),
+                [b.column("chunk_id"), b.column("piece"), *quality.partial_arrays(d, prose),
                  pa.array(words.tolist(), pa.list_(pa.int64())), pa.array(weight.tolist(), pa.list_(pa.float64()))],
                 names=["chunk_id", "piece", "totals", "head", "tail", "through", "words", "weight"])
 

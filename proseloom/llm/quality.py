@@ -43,24 +43,48 @@ LEADER = re.compile(r"\.{4,}|(?:\. ){4,}|_{4,}")
 LABEL = re.compile(r"^\W*[^\W\d_][\w' ]{0,30}:\s+\S")
 SYMBOL = re.compile("[^\\w\\s" + re.escape(PLAIN_MARKS) + "]|_")
 #: a letter beside a digit, or a capital after a small letter
+INNER_CAPITAL = re.compile(r"[a-z][A-Z]")
 BROKEN_WORD = re.compile(r"[^\W\d_]\d|\d[^\W\d_]|[a-z][A-Z]")
 
 # positions in a line's additive feature vector
 CHARS, WORDS, LETTERS, COMMON_WORDS, NUMBERS, SYMBOLS, TOKENS, BROKEN, LONG, COMMAS, LEADERS, LABELS, ENDED = range(13)
 
 
-def line_features(line: str) -> list[int]:
+def traits(text: str) -> tuple[bool, bool, bool, bool]:
+    """Whether a text has numbers, symbols, malformed words and overlong tokens anywhere; its lines skip what it has not."""
+    plain = text.isascii()
+    number = any(map(text.__contains__, "0123456789")) or not plain and NUMBER.search(text) is not None
+    symbol = any(map(text.__contains__, "|<>{}[]=\\/#^~*@%+&$_`")) or not plain and SYMBOL.search(text) is not None
+    broken = (BROKEN_WORD if number else INNER_CAPITAL).search(text) is not None
+    return number, symbol, broken, max(map(len, text.split()), default=0) > 32
+
+
+def plainly_prose(text: str, n_words: int, n_common: int) -> bool:
+    """Whether no more than half of a text can be judged other, without looking at its lines.
+
+    Lines without numbers, symbols, malformed words and overlong tokens are only other as
+    comma lists, as labels of up to six words or by dotted leaders.
+    """
+    return (
+        n_common >= 0.2 * n_words > 0 and text.count(",") < 0.15 * n_words and text.count(":") * 12 < n_words
+        and ".." not in text and ". ." not in text and not any(map(text.__contains__, "0123456789|<>{}[]=\\/#^~*@%+&$_`")) and not any(traits(text))
+    )
+
+
+def line_features(line: str, has: tuple = (True, True, True, True)) -> list[int]:
     s = line.strip()
     words = WORD.findall(s.lower())
-    tokens = s.split()
-    broken = long = 0
-    if tokens and max(map(len, tokens)) > 32:
-        long = sum(len(t) for t in tokens if len(t) > 32 and (len(WORD.findall(t)) < 2 or not any(c in t for c in "-—….")))
-    if BROKEN_WORD.search(s):
-        broken = sum(1 for t in tokens if BROKEN_WORD.search(t))
+    broken = long = n_tokens = 0
+    if has[2] or has[3]:
+        tokens = s.split()
+        n_tokens = len(tokens)
+        if has[3] and tokens and max(map(len, tokens)) > 32:
+            long = sum(len(t) for t in tokens if len(t) > 32 and (len(WORD.findall(t)) < 2 or not any(c in t for c in "-—….")))
+        if has[2] and BROKEN_WORD.search(s):
+            broken = sum(1 for t in tokens if BROKEN_WORD.search(t))
     return [
-        len(line) + 1, len(words), sum(map(len, words)), sum(map(ALL_COMMON.__contains__, words)), len(NUMBER.findall(s)),
-        len(SYMBOL.findall(s)), len(tokens), broken, long, s.count(","),
+        len(line) + 1, len(words), sum(map(len, words)), sum(map(ALL_COMMON.__contains__, words)), len(NUMBER.findall(s)) if has[0] else 0,
+        len(SYMBOL.findall(s)) if has[1] else 0, n_tokens, broken, long, s.count(","),
         len(LEADER.findall(s)) if ".." in s or ". ." in s or "__" in s else 0,
         1 if ":" in s and LABEL.match(s) else 0, 1 if s and s[-1] in ".!?…\"'”’»;,-—:" else 0,
     ]
@@ -100,8 +124,9 @@ class Counts:
         lines = text.split("\n")
         head = tail = None
         last = len(lines) - 1
+        has = traits(text)
         for i, line in enumerate(lines):
-            f = line_features(line)
+            f = line_features(line, has)
             if i == 0 and cut_left:
                 head = f
             elif i == last and cut_right:
@@ -168,8 +193,17 @@ _F = pa.list_(pa.int64())
 PARTIAL = "chunk_id long, piece int, totals array<long>, head array<long>, tail array<long>, through boolean"
 
 
-def partial_arrays(d: dict) -> list:
-    got = [Counts.of(t, l, r) for t, l, r in zip(d["text"], d["cut_left"], d["cut_right"])]
+_NO_COUNT = [0] * 9
+
+
+def partial_arrays(d: dict, prose=()) -> list:
+    """Columns totals, head, tail, through; texts flagged in ``prose`` are known to be prose, only their judged characters are counted."""
+    if len(prose):
+        got = [
+            ([*_NO_COUNT, len(t) + 1, 0], None, None, False) if p and not l and not r else Counts.of(t, l, r)
+            for t, l, r, p in zip(d["text"], d["cut_left"], d["cut_right"], prose)]
+    else:
+        got = [Counts.of(t, l, r) for t, l, r in zip(d["text"], d["cut_left"], d["cut_right"])]
     return [pa.array([g[0] for g in got], _F), pa.array([g[1] for g in got], _F), pa.array([g[2] for g in got], _F), pa.array([g[3] for g in got], pa.bool_())]
 
 
