@@ -28,13 +28,15 @@ GRAM = 12              # letters of an index term
 RUN = 6                # letters of the shortest common run in the verification
 WINDOW, STEP = 260, 120  # letters of a passage, and between the starts of passages
 THRESHOLD = 40.0       # least BM25 score; 25 words with two of them changed keep about 27 sampled terms of at least 3 each
-BAND, IN_BAND = 64, 11  # letters by which edits may shift a passage, and sampled terms that must lie in that band
+BAND, IN_BAND = 64, 16  # letters by which edits may shift a passage, and sampled terms that must lie in that band (25 words with two changed keep 22 or more)
+STRETCH, COVERED = 75, 0.62  # letters of the item that MIN_WORDS words exceed, and the part of them in common runs
 MIN_WORDS, ERRORS = 25, 0.1
 BLOCK = 16             # items of an index block
 MAX_ITEM_CHARS = 20_000_000
 
 _ESCAPE = re.compile(r"\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})|\\[nrt]|%([0-9A-F]{2})")
 _DROP = re.compile(r"[\W_]+")
+_MARKS = re.compile(r"[^\w\s]+|_+")
 _B = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -72,6 +74,14 @@ def gram_hashes(c: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
+def run_hashes(c: np.ndarray) -> np.ndarray:
+    """Hash of the RUN letters from each position (RUN = 6)."""
+    if len(c) < RUN:
+        return np.zeros(0, dtype=np.uint64)
+    h2 = c[:-1] * _B + c[1:]
+    return (h2[:-4] * _mul(2) + h2[2:-2]) * _mul(2) + h2[4:]
+
+
 def sampled(h: np.ndarray) -> np.ndarray:
     """Every second hash value, the same ones in items and documents."""
     return (h >> np.uint64(17)) & np.uint64(1) == 0
@@ -89,7 +99,7 @@ class Index:
     def __init__(self, items: list[tuple[int, str]], k1: float = 1.2, b: float = 0.5):
         self.ids = np.array([i for i, _ in items], dtype=np.int64)
         self.texts = [letters(t) for _, t in items]
-        self.words = [[len(w) for w in (letters(x) for x in plain(t).split()) if w] for _, t in items]
+        self.words = [[len(w) for w in _MARKS.sub("", plain(t)).split()] for _, t in items]
         h, item, pos = [], [], []
         for i, t in enumerate(self.texts):
             g = gram_hashes(_codes(t))
@@ -142,14 +152,11 @@ class Index:
         none = np.zeros(0, dtype=np.int64)
         if not len(term):
             return none, none
-        # a term counts once in a passage
-        key = np.unique(passage * len(self.terms) + term)
-        passage, term = key // len(self.terms), key % len(self.terms)
         row, k = _spread(self.block_n[term])
         entry = self.block_from[term[row]] + k
-        bkey, inv = np.unique(passage[row] * self.n_blocks + self.block_no[entry], return_inverse=True)
-        bound = np.bincount(inv, self.block_max[entry])
-        alive = bkey[bound >= THRESHOLD]
+        # passages are numbered without gaps, so the bounds of a batch are one dense array
+        bound = np.bincount(passage[row] * self.n_blocks + self.block_no[entry], self.block_max[entry])
+        alive = np.flatnonzero(bound >= THRESHOLD)
         if not len(alive):
             return none, none
         row, k = _spread(self.post_n[term])
@@ -166,38 +173,57 @@ class Index:
 
     # --- verification -----------------------------------------------------------------
 
-    def _item_grams(self, i: int) -> dict:
+    def _item_runs(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted hashes of the item's RUN-letter grams, and their positions."""
         if i not in self._grams:
-            d: dict[str, list[int]] = {}
-            t = self.texts[i]
-            for j in range(len(t) - RUN + 1):
-                d.setdefault(t[j:j + RUN], []).append(j)
-            self._grams[i] = d
+            h = run_hashes(_codes(self.texts[i]))
+            order = np.argsort(h, kind="stable")
+            self._grams[i] = (h[order], order)
         return self._grams[i]
 
-    def runs(self, doc: str, i: int) -> list[tuple[int, int, int]]:
-        """Maximal common runs (doc start, item start, length) of at least RUN letters."""
-        grams, t, out = self._item_grams(i), self.texts[i], []
-        for d in range(len(doc) - RUN + 1):
-            for j in grams.get(doc[d:d + RUN], ()):
-                if d and j and doc[d - 1] == t[j - 1]:
-                    continue
-                n = RUN
-                while d + n < len(doc) and j + n < len(t) and doc[d + n] == t[j + n]:
-                    n += 1
-                out.append((d, j, n))
-        return out
-
-    def held_words(self, doc: str, i: int, word_ends: np.ndarray) -> int:
-        """Most running words of item i that ``doc`` (letters) holds with at most one error in ten; 0 if below MIN_WORDS.
+    def runs(self, doc: np.ndarray, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Maximal common runs of at least RUN letters: doc starts, item starts, lengths. ``doc``: letter codes."""
+        h, where = self._item_runs(i)
+        g = run_hashes(doc)
+        lo, hi = np.searchsorted(h, g, "left"), np.searchsorted(h, g, "right")
+        d, k = _spread(hi - lo)
+        j = where[lo[d] + k]
+        order = np.lexsort((d, d - j))
+        d, j = d[order], j[order]
+        if not len(d):
+            return d, j, d
+        new = np.concatenate([[True], (np.diff(d) != 1) | (np.diff(d - j) != 0)])
+        at = np.flatnonzero(new)
+        n = np.diff(np.concatenate([at, [len(d)]])) + RUN - 1
+        return d[at], j[at], n
+
+    def _band(self, diag: np.ndarray, j: np.ndarray, n: np.ndarray, i: int) -> np.ndarray | None:
+        """The runs of the fullest diagonal band, or None where they cover too little of every stretch of the item for a passage of MIN_WORDS."""
+        order = np.argsort(diag, kind="stable")
+        line, weight = diag[order], np.concatenate([[0], np.cumsum(n[order])])
+        ends = np.searchsorted(line, line + 2 * BAND, "right")
+        a = int((weight[ends] - weight[:-1]).argmax())
+        mark = np.zeros(len(self.texts[i]) + 2, dtype=np.int32)
+        inside = order[a:ends[a]]
+        np.add.at(mark, j[inside], 1)
+        np.add.at(mark, j[inside] + n[inside], -1)
+        cover = np.concatenate([[0], np.cumsum(np.cumsum(mark) > 0)])
+        if len(cover) <= STRETCH or int((cover[STRETCH:] - cover[:-STRETCH]).max()) < COVERED * STRETCH:
+            return None
+        # edits of a long passage may leave the band on either side
+        return np.flatnonzero((diag >= line[a] - BAND) & (diag <= line[a] + 3 * BAND))
+
+    def held_words(self, doc: np.ndarray, i: int, word_ends: np.ndarray) -> int:
+        """Most running words of item i that ``doc`` (letter codes) holds with at most one error in ten; 0 if below MIN_WORDS.
 
         ``word_ends``: where the words of doc end, for counting the words that only the document has.
         """
-        runs = self.runs(doc, i)
-        if not runs:
+        d, j, n = self.runs(doc, i)
+        near = self._band(d - j, j, n, i) if len(d) else None
+        if near is None:
             return 0
-        runs.sort()
-        d, j, n = (np.array(x, dtype=np.int64) for x in zip(*runs))
+        near = near[np.argsort(d[near], kind="stable")]
+        d, j, n = d[near], j[near], n[near]
         best, prev = n.astype(float), np.full(len(n), -1)
         for k in range(1, len(n)):
             # earlier runs that end (after trimming an overlap of less than their length) before this one starts
@@ -259,15 +285,13 @@ def match(index: Index, ids: list[int], texts: list[str]) -> list[tuple[int, int
         return []
     doc = np.searchsorted(begin, pos, "right") - 1
     local = pos - begin[doc]
-    # passages overlap: a position belongs to those that start at or before it
-    stride = int(sizes.max()) // STEP + 4
-    span = WINDOW // STEP + 1
-    first = local // STEP
-    k = np.arange(span)
-    w = first[:, None] - k[None, :]
-    ok = (w >= 0) & (local[:, None] - w * STEP + GRAM <= WINDOW)
-    row = np.nonzero(ok)
-    passage = (doc[:, None] * stride + w)[row]
+    # passages overlap: a position belongs to those that start at or before it; they are numbered through
+    per = sizes // STEP + 1
+    number = np.cumsum(per) - per
+    k = np.arange(WINDOW // STEP + 1)
+    w = (local // STEP)[:, None] - k[None, :]
+    row = np.nonzero((w >= 0) & (local[:, None] - w * STEP + GRAM <= WINDOW))
+    passage = (number[doc][:, None] + w)[row]
     hit = row[0]
     found_p, found_i = index.search(passage, term[hit])
     if not len(found_p):
@@ -289,11 +313,12 @@ def match(index: Index, ids: list[int], texts: list[str]) -> list[tuple[int, int
     good = np.unique(key[order][count >= IN_BAND])
     out: dict[tuple[int, int], int] = {}
     pairs: dict[tuple[int, int], list[int]] = {}
-    for x in good.tolist():
-        pairs.setdefault((x // n // stride, x % n), []).append(x // n % stride)
+    docs_of = np.searchsorted(number, good // n, "right") - 1
+    for x, dn in zip(good.tolist(), docs_of.tolist()):
+        pairs.setdefault((dn, x % n), []).append(x // n - int(number[dn]))
     for (dn, i), ws in pairs.items():
-        s = streams[dn]
-        ends = np.cumsum([len(w) for w in (letters(x) for x in plain(texts[dn]).split()) if w])
+        s = _codes(streams[dn])
+        ends = np.cumsum([len(w) for w in _MARKS.sub("", plain(texts[dn])).split()])
         length = len(index.texts[i])
         for w0, w1 in _merge(sorted(ws), -(-length // STEP)):
             lo = max(0, w0 * STEP - length - WINDOW)
