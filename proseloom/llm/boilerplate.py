@@ -101,8 +101,8 @@ def _components(pdf: pd.DataFrame) -> pd.DataFrame:
     for h in pdf["h"]:
         parent.setdefault(h, h)
     for a, b in zip(pdf["h"], pdf["nxt"]):
-        if b == b and b in parent:
-            ra, rb = root(a), root(int(b))
+        if b in parent:
+            ra, rb = root(a), root(b)
             parent[max(ra, rb)] = min(ra, rb)
     out = pdf[["source_dataset", "h"]].drop_duplicates().copy()
     out["block"] = [root(h) for h in out["h"]]
@@ -127,7 +127,8 @@ def blocks(chunks: DataFrame, min_edge_share: float = 0.5) -> DataFrame:
     strong = edges.join(found, ["source_dataset", "h"]).join(other, ["source_dataset", "nxt"]).where(
         F.col("w") >= F.least("support", "support_2") * min_edge_share
     )
-    graph = found.join(strong.select("source_dataset", "h", "nxt"), ["source_dataset", "h"], "left").select("source_dataset", "h", "nxt")
+    graph = found.join(strong.select("source_dataset", "h", "nxt"), ["source_dataset", "h"], "left").select(
+        "source_dataset", "h", F.coalesce("nxt", "h").alias("nxt"))  # no nulls: pandas would turn the longs into doubles
     comps = graph.groupBy("source_dataset").applyInPandas(_components, "source_dataset string, h long, block long")
     return found.join(comps, ["source_dataset", "h"])
 

@@ -107,7 +107,8 @@ class Index:
             h.append(g[at])
             item.append(np.full(len(at), i))
             pos.append(at)
-        h, item, pos = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (h, item, pos))
+        h = np.concatenate([np.zeros(0, dtype=np.uint64), *h])
+        item, pos = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (item, pos))
         order = np.lexsort((pos, item, h))
         h, item, pos = h[order], item[order].astype(np.int64), pos[order].astype(np.int64)
         self.terms, first, count = np.unique(h, return_index=True, return_counts=True)
