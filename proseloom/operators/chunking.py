@@ -155,3 +155,16 @@ def pack_paragraphs(text: str, max_chars: int = 3_500) -> list[str]:
         elif p:
             units.append(p)
     return greedy(units, "\n\n")
+
+
+def packed(df: DataFrame, id_col: str, text_col: str, max_chars: int = 3_500) -> DataFrame:
+    """(id, part, piece): texts packed by ``pack_paragraphs``; blank texts give no row."""
+    kind = dict(df.dtypes)[id_col]
+
+    def run(batches):
+        for b in batches:
+            rows = [(i, k, p) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for k, p in enumerate(pack_paragraphs(t, max_chars))]
+            cols = list(zip(*rows)) if rows else [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (b.schema.field(0).type, pa.int32(), pa.string()))], names=["id", "part", "piece"])
+
+    return df.select(F.col(id_col).alias("id"), text_col).mapInArrow(run, f"id {kind}, part int, piece string").withColumnRenamed("id", id_col)

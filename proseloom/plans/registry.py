@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import metadata as M, quality as Q, style as S, text as T
+from ..functions import cleaning as C, metadata as M, quality as Q, style as S, text as T
 from ..operators import chunking, pairs, records, retrieval, runs, sampling, segments
 from ..session import table
 from ..streaming import resume
@@ -91,6 +91,25 @@ def reflowed_docs(spark, d):
     return r.select("doc_id", F.length("text").alias("n_chars"), T.word_count(F.col("text")).alias("n_words"), F.md5(F.col("text").cast("binary")).alias("hash"))
 
 
+@query("normalize_chain")
+def normalize_chain(spark, d):
+    """Whitespace, reflow, front matter, titles, dedications, licences, quotes, in that order."""
+    t = docs(spark, d).select("doc_id", T.reflow(T.normalize_whitespace(T.text_of("text"))).alias("t"))
+    c = T.once(t, c=C.clean(F.col("t")))
+    return c.select("doc_id", F.md5(T.normalize_quotes(F.col("c.text")).cast("binary")).alias("hash"), T.word_count(F.col("c.text")).alias("n_words"), F.col("c.reasons").alias("reasons"))
+
+
+@query("archive_books")
+def archive_books(spark, d):
+    b = C.split_archives(docs(spark, d).where("text is not null"), "doc_id", "text")
+    return b.select("doc_id", "book_no", "title", "author", T.word_count(F.col("text")).alias("n_words"))
+
+
+@query("packed_paragraphs")
+def packed_paragraphs(spark, d):
+    return chunking.packed(docs(spark, d), "doc_id", "text").select("doc_id", "part", F.length("piece").alias("n_chars"))
+
+
 @query("html_strip", f"""
 WITH d AS ({D}) SELECT doc_id, md5({X.html('t')}) AS hash,
 CASE WHEN length(t) > 0 THEN {X.rnd(f"(2 * length(t) - length(regexp_replace(t, '{T.TAG}', '', 'g')) - length(regexp_replace(t, '{T.ENTITY}', '', 'g'))) / length(t)", 6)} ELSE 0 END AS html_ratio FROM d""")
