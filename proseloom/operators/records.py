@@ -45,9 +45,11 @@ def merge_profiles(computed: Column, prior: Column, fresh: Column) -> Column:
     empty = F.create_map().cast("map<string,string>")
     parts = [F.coalesce(m, empty) for m in (computed, prior, fresh)]
     merged = F.map_from_entries(F.array().cast("array<struct<key:string,value:string>>"))
+    def over(old: Column, new: Column) -> Column:
+        return F.map_concat(F.map_filter(old, lambda k, v: ~F.map_contains_key(new, k)), new)
+
     for m in parts:
-        kept = F.map_filter(merged, lambda k, v, m=m: ~F.map_contains_key(m, k))
-        merged = F.map_concat(kept, m)
+        merged = over(merged, m)
     return merged
 
 

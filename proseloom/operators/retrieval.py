@@ -41,14 +41,14 @@ def top_k(queries: DataFrame, query_id: str, query: str, knowledge: DataFrame, i
         raise ValueError("the knowledge is too large to broadcast")
     kb = knowledge.select(F.struct(
         F.col(item_id).alias("id"), tokens(F.concat_ws(" ", title, text)).alias("tok"), categories(F.col(title), F.col(text)).alias("cat")).alias("s"))
-    one = kb.agg(F.sort_array(F.collect_list("s")).alias("kb"))
-    q = queries.select(query_id, tokens(F.col(query)).alias("q"), categories(F.lit(""), F.col(query)).alias("qc")).join(F.broadcast(one))
-    overlap = lambda s: F.size(F.array_intersect(F.col("q"), s["tok"]))
-    shared = lambda s: F.when(F.arrays_overlap(F.filter("qc", lambda c: c != "general"), s["cat"]), 5).otherwise(0)
+    one = kb.agg(F.sort_array(F.collect_list("s")).alias("_kb"))
+    q = queries.select(query_id, tokens(F.col(query)).alias("_q"), categories(F.lit(""), F.col(query)).alias("_qc")).join(F.broadcast(one))
+    overlap = lambda s: F.size(F.array_intersect(F.col("_q"), s["tok"]))
+    shared = lambda s: F.when(F.arrays_overlap(F.filter("_qc", lambda c: c != "general"), s["cat"]), 5).otherwise(0)
     score = (lambda s: overlap(s) + shared(s)) if use_categories else overlap
-    ranked = F.slice(F.array_sort(F.transform("kb", lambda s: F.struct((-score(s)).alias("neg"), s["id"].alias("id")))), 1, k)
-    return q.select(query_id, F.posexplode(ranked).alias("pos", "r")).where("r.neg < 0").select(
-        query_id, F.col("r.id").alias(item_id), (-F.col("r.neg")).alias("score"), (F.col("pos") + 1).alias("rank"))
+    ranked = F.slice(F.array_sort(F.transform("_kb", lambda s: F.struct((-score(s)).alias("neg"), s["id"].alias("id")))), 1, k)
+    return q.select(query_id, F.posexplode(ranked).alias("_pos", "_r")).where("_r.neg < 0").select(
+        query_id, F.col("_r.id").alias(item_id), (-F.col("_r.neg")).alias("score"), (F.col("_pos") + 1).alias("rank"))
 
 
 def context(ranked: DataFrame, query_id: str, body: str, rank: str, max_chars: int = 4_000, least: int = 200) -> DataFrame:

@@ -22,14 +22,14 @@ def split_by_fraction(df: DataFrame, key: str, fraction: float, seed: int = 42,
     """
     h = df.withColumn("_h", hash_of(seed, F.col(key)))
     h = h.withColumn("_b", F.substring("_h", 1, 3))
-    sizes = h.groupBy("_b").agg(F.count("*").alias("c"))
-    run = sizes.select("_b", "c", F.coalesce(F.sum("c").over(W.partitionBy(F.lit(0)).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    total = sizes.agg(F.floor(F.sum("c") * F.lit(fraction)).alias("k"))
+    sizes = h.groupBy("_b").agg(F.count("*").alias("_c"))
+    run = sizes.select("_b", "_c", F.coalesce(F.sum("_c").over(W.partitionBy(F.lit(0)).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    total = sizes.agg(F.floor(F.sum("_c") * F.lit(fraction)).alias("_k"))
     plan = F.broadcast(run.join(total))  # at most 4096 rows
     both = h.join(plan, "_b")
-    rank = F.row_number().over(W.partitionBy("_b", F.col("before") + F.col("c") <= F.col("k"), F.col("before") >= F.col("k")).orderBy("_h", key))
-    part = F.when(F.col("before") + F.col("c") <= F.col("k"), "validation").when(F.col("before") >= F.col("k"), "train").when(F.col("before") + rank <= F.col("k"), "validation").otherwise("train")
-    return both.withColumn(out, part).drop("_h", "_b", "c", "before", "k")
+    rank = F.row_number().over(W.partitionBy("_b", F.col("_before") + F.col("_c") <= F.col("_k"), F.col("_before") >= F.col("_k")).orderBy("_h", key))
+    part = F.when(F.col("_before") + F.col("_c") <= F.col("_k"), "validation").when(F.col("_before") >= F.col("_k"), "train").when(F.col("_before") + rank <= F.col("_k"), "validation").otherwise("train")
+    return both.withColumn(out, part).drop("_h", "_b", "_c", "_before", "_k")
 
 
 def choose(seed: int | str, options: Column, *keys: Column) -> Column:
