@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as C, metadata as M, quality as Q, style as S, text as T
-from ..operators import chunking, pairs, records, retrieval, runs, sampling, segments
+from ..operators import chunking, labels, manuscripts, pairs, records, retrieval, runs, sampling, segments
 from ..session import table
 from ..streaming import resume
 from . import sql as X
@@ -110,6 +110,33 @@ def packed_paragraphs(spark, d):
     return chunking.packed(docs(spark, d), "doc_id", "text").select("doc_id", "part", F.length("piece").alias("n_chars"))
 
 
+@query("manuscript_sections")
+def manuscript_sections(spark, d):
+    return manuscripts.manuscript_sections(docs(spark, d).where("text is not null"), "doc_id", "text").select("doc_id", "section_no", "title", "page")
+
+
+@query("default_labels")
+def default_labels(spark, d):
+    dims = [{"id": f, "values": ["low", "moderate", "high"]} for f in labels.FAST]
+    score = labels.default_scorer(dims)
+    return labels.annotate(docs(spark, d), "doc_id", "text", score, score([""])[0])
+
+
+_W = "string_split(n, ' ')"
+_NAMES = f"""WITH a AS (SELECT DISTINCT story_id, source, author FROM stories),
+b AS (SELECT *, lower(trim(regexp_replace(coalesce(author, ''), '\\s+', ' ', 'g'))) AS n FROM a), c AS (SELECT *, {_W} AS w FROM b),
+e AS (SELECT *, coalesce(list_filter(w, lambda p: NOT list_contains([{', '.join(f"'{t}'" for t in labels.TITLES)}], regexp_replace(p, '[^\\w]', '', 'g')))[1], w[-1]) AS f,
+  CASE WHEN len(w) >= 3 AND w[-2] = 'of' THEN w[-3] ELSE w[-1] END AS l FROM c)"""
+
+
+@query("name_gate", f"""{_NAMES}
+SELECT story_id, author, CASE WHEN n = '' THEN 'empty' WHEN f IN ('ordra', 'vista') THEN 'overused_first' WHEN l IN ('wennalis') THEN 'overused_last'
+WHEN min(story_id) OVER (PARTITION BY source, n) < story_id THEN 'duplicate' WHEN min(story_id) OVER (PARTITION BY source, f) < story_id THEN 'duplicate_first' ELSE 'ok' END AS code FROM e""")
+def name_gate(spark, d):
+    s = table(spark, d, "stories").select("story_id", "source", "author").distinct()
+    return labels.name_gate(s, "author", "source", "story_id", ["ordra", "vista"], ["wennalis"]).select("story_id", "author", "code")
+
+
 @query("html_strip", f"""
 WITH d AS ({D}) SELECT doc_id, md5({X.html('t')}) AS hash,
 CASE WHEN length(t) > 0 THEN {X.rnd(f"(2 * length(t) - length(regexp_replace(t, '{T.TAG}', '', 'g')) - length(regexp_replace(t, '{T.ENTITY}', '', 'g'))) / length(t)", 6)} ELSE 0 END AS html_ratio FROM d""")

@@ -114,3 +114,28 @@ def test_stream_resumes_and_compacts(spark, tmp_path):
     resume.process_available(spark, src, step, out, ck)
     assert spark.read.parquet(out).count() == 3
     assert {r.k: r.w for r in resume.last_wins(spark.read.parquet(out), "k", "v").collect()} == {"a": 20, "b": 10}
+
+
+def test_names_labels_and_manuscripts(spark):
+    from proseloom.operators import labels as L, manuscripts as P
+
+    rows = [(1, "g", "Captain  Ann Lee"), (2, "g", "ann lee"), (3, "g", "Ann Bo of Kent"), (4, "g", None), (5, "h", "Dr. Mary Sue"), (6, "g", "Captain ann Lee")]
+    df = spark.createDataFrame(rows, "i int, g string, n string")
+    got = {r.i: r.code for r in L.name_gate(df, "n", "g", "i", ["mary"], ["zed"]).collect()}
+    assert got == {1: "ok", 2: "duplicate_first", 3: "duplicate_first", 4: "empty", 5: "overused_first", 6: "duplicate"}
+    assert [r.x for r in df.orderBy("i").select(L.last_name(F.col("n")).alias("x")).collect()][2] == "bo"
+    score = L.default_scorer([{"id": "tone", "metric_type": "ordinal"}, {"id": "pov", "values": ["a", "b", "c"]}])
+    out = L.annotate(df, "i", "n", score, {"tone": "x", "pov": "y", "other": "z"}).where("i = 1").first().labels
+    assert out == {"tone": "moderate", "pov": "b", "other": "z"}
+
+    def broken(texts):
+        raise RuntimeError
+
+    assert L.annotate(df, "i", "n", broken, {"tone": "x"}).where("i = 1").first().labels == {"tone": "x"}
+    body = "Plain words of the body that go on for a while. " * 6
+    text = "Title\n<PAGE>\nHeader\nPART ONE\n" + body + "\n12\n<PAGE>\nHeader\nCHAPTER 2\n" + body + "\n<PAGE>\nHeader\n3.1 A checklist of things\nA: Lexical\n5 NOUN PHRASES. Are they simple or complex in this text?\n[see pp. 3]\nWhat do the adjectives do in the passage?\n" + body
+    got = P.sections(text)
+    assert [(s[0], s[1], s[2], s[3], s[4]) for s in got] == [("Part One", 2, "ONE", None, None), ("Chapter 2", 3, "ONE", 2, None), ("3.1 A checklist of things", 4, "ONE", 2, "3.1")]
+    assert "Header" not in got[1][5] and "12" not in got[0][5]
+    items = P.checklist(got[2][5])
+    assert items[0][1:4] == ("a", "Noun phrases", 5) and items[0][4].startswith("Are they")
