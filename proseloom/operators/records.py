@@ -95,3 +95,34 @@ def longest_by(df: DataFrame, key: str, text: str, order: str) -> DataFrame:
 
 def row_number_by(df: DataFrame, group: str, order: str) -> DataFrame:
     return df.withColumn("rn", F.row_number().over(W.partitionBy(group).orderBy(order)))
+
+
+def map_fields(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
+    """Target columns from source columns that exist; the sources stay."""
+    return df.withColumns({target: F.col(source) for target, source in mapping.items() if source in df.columns})
+
+
+def metadata_blob(df: DataFrame, preferred: str | None = None, text_names: tuple[str, ...] = ("text",)) -> Column:
+    """The record's metadata: the preferred nested column, else the first of the usual names, else all columns but the texts."""
+    nested = [c for c, t in df.dtypes if t.startswith(("struct", "map"))]
+    for name in (preferred, "metadata", "meta", "info", "attrs", "attributes"):
+        if name in nested:
+            return F.col(name)
+    return F.struct(*[F.col(c) for c in df.columns if c not in text_names])
+
+
+def annotated(df: DataFrame, struct: str, name: str, value: Column) -> DataFrame:
+    """``df`` with a field set inside a nested column."""
+    return df.withColumn(struct, F.col(struct).withField(name, value))
+
+
+def record_label(*parts: Column) -> Column:
+    """Parts that are set, joined by a bar."""
+    return F.concat_ws(" | ", *[F.nullif(p.cast("string"), F.lit("")) for p in parts])
+
+
+def profile_parts(profile: Column, computable: list[str], labels: list[str]) -> Column:
+    """struct(computable, labels, extra): a profile's map by kind of key."""
+    among = lambda names: F.map_filter(profile, lambda k, v: k.isin(names))
+    rest = F.map_filter(profile, lambda k, v: ~k.isin(computable + labels))
+    return F.struct(among(computable).alias("computable"), among(labels).alias("labels"), rest.alias("extra"))

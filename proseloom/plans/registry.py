@@ -360,6 +360,12 @@ def corpus_validation(spark, d):
                                    F.count_if(F.col("word_count") != F.col("n")).alias("n_stale_counts"))
 
 
+@query("record_labels", "SELECT DISTINCT story_id, concat_ws(' | ', nullif(title, ''), nullif(author, ''), nullif(pub_month, '')) AS label FROM stories")
+def record_labels(spark, d):
+    s = table(spark, d, "stories")
+    return s.select("story_id", records.record_label(F.col("title"), F.col("author"), F.col("pub_month")).alias("label")).distinct()
+
+
 @query("running_headers", f"""
 WITH l AS (SELECT story_id, {X.lines("coalesce(text, '')")}[1] AS line FROM chunks)
 SELECT story_id, line, count(*) AS n FROM l WHERE line IS NOT NULL GROUP BY ALL HAVING count(*) >= 3""")

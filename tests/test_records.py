@@ -139,3 +139,15 @@ def test_names_labels_and_manuscripts(spark):
     assert "Header" not in got[1][5] and "12" not in got[0][5]
     items = P.checklist(got[2][5])
     assert items[0][1:4] == ("a", "Noun phrases", 5) and items[0][4].startswith("Are they")
+
+
+def test_record_helpers(spark):
+    df = spark.createDataFrame([("t", "A", {"a": "1", "b": "2", "c": "3"})], "text string, by string, m map<string,string>")
+    assert R.map_fields(df, {"author": "by", "x": "none"}).columns == ["text", "by", "m", "author"]
+    assert df.select(R.metadata_blob(df.drop("m")).alias("b")).first().b.asDict() == {"by": "A"}
+    nested = df.select("text", F.struct("by").alias("meta"))
+    assert nested.select(R.metadata_blob(nested).alias("b")).first().b.by == "A"
+    assert R.annotated(nested, "meta", "n", F.lit(1)).first().meta.n == 1
+    assert df.select(R.record_label(F.col("by"), F.lit(None), F.lit(""), F.lit(3)).alias("l")).first().l == "A | 3"
+    p = df.select(R.profile_parts(F.col("m"), ["a"], ["b"]).alias("p")).first().p
+    assert (p.computable, p.labels, p.extra) == ({"a": "1"}, {"b": "2"}, {"c": "3"})
