@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import boilerplate, quality
 
-SAMPLE, DEFAULTS, MAX_TRAIN_CHARS = 6_000, 1_500, 20_000
+SAMPLE, DEFAULTS, MAX_TRAIN_CHARS = 6_000, 1_500, 8_000
 VOCABULARY = 1_500          # words of a language's automaton
 DEFAULT = "en"
 SHARE = 0.25                # a text is written in every language with at least this share of its words
