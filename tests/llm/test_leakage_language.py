@@ -25,6 +25,19 @@ def test_finds_equal_changed_and_moved_copies_only(spark, make_chunks):
     assert sum(r.n_exact for r in K.report(make_chunks(rows)).collect()) == 2
 
 
+def test_large_groups_of_copies_keep_every_link_in_few_rows(make_chunks):
+    rng = random.Random(11)
+    a, b = story(rng), story(rng)
+    near = " ".join("zzz" if i % 40 == 0 else w for i, w in enumerate(a.split()))
+    rows = [{"chunk_id": i, "split": "train" if i % 3 else "test", "text": a} for i in range(60)] + [{"chunk_id": 100 + i, "split": "train", "text": near} for i in range(4)]
+    rows += [{"chunk_id": 200, "split": "train", "text": b}, {"chunk_id": 201, "split": "test", "text": b}]
+    whole = {(r.chunk_id_1, r.chunk_id_2) for r in K.overlaps(make_chunks(rows)).collect()}
+    assert len(whole) == 20 * 40 + 20 * 4 + 1
+    few = {(r.chunk_id_1, r.chunk_id_2) for r in K.overlaps(make_chunks(rows), expand=10).collect()}
+    assert few <= whole and (200, 201) in few and len(few) <= 60 + 24 + 1
+    assert {i for p in few for i in p} == {i for p in whole for i in p}
+
+
 def test_kept_share_against_brute_force():
     rng = random.Random(3)
     a = [rng.choice(WORDS) for _ in range(100)]
