@@ -66,7 +66,13 @@ def style_metrics(spark, d):
     return S.metrics(docs(spark, d).select("doc_id", "text"), "text").where("style is not null").select("doc_id", "style.*")
 
 
-@query("readability")
+_SY = "list_transform(regexp_extract_all(lower(t), '[a-z'']+'), lambda x: greatest(1, len(regexp_extract_all(regexp_replace(x, 'e$', ''), '[aeiouy]+'))))"
+
+
+@query("readability", f"""
+WITH d AS ({D}), a AS (SELECT doc_id, {_SY} AS y, greatest(len({X.sents('t')}), 1) AS s FROM d), b AS (SELECT doc_id, len(y) AS n, s, list_sum(y) AS y, len(list_filter(y, lambda x: x >= 3)) AS h FROM a)
+SELECT doc_id, CASE WHEN n > 0 THEN {X.rnd('206.835e0 - 1.015e0 * n / s - 84.6e0 * y / n', 2)} END AS flesch_reading_ease, CASE WHEN n > 0 THEN {X.rnd('0.39e0 * n / s + 11.8e0 * y / n - 15.59e0', 2)} END AS flesch_kincaid_grade,
+CASE WHEN n > 0 THEN {X.rnd('0.4e0 * (n / s + 100 * h / n)', 2)} END AS gunning_fog FROM b""")
 def readability(spark, d):
     return S.flesch(docs(spark, d).select("doc_id", "text"), "text").select("doc_id", "readability.*")
 
@@ -248,12 +254,31 @@ def language_fallback(spark, d):
     return docs(spark, d).select("doc_id", T.rounded(Q.english_ratio(c), 4).alias("english_ratio"), Q.language(c).alias("language"))
 
 
-@query("page_quality")
+_META = " + ".join(f"CASE WHEN contains(lower(t), '{X.esc(m)}') THEN 1 ELSE 0 END" for m in Q.META)
+
+
+@query("page_quality", f"""
+WITH d AS (SELECT doc_id, {X.strip("coalesce(text, '')")} AS t FROM documents), a AS (SELECT doc_id, t, regexp_extract_all(lower(t), '[a-z'']+') AS w, {X.words('t')} AS k FROM d),
+b AS (SELECT *, len(w) AS n, CASE WHEN len(w) > 0 THEN len(list_distinct(w)) / len(w) ELSE 0 END AS u, CASE WHEN len(w) > 0 THEN list_max(map_values(list_aggregate(w, 'histogram'))) ELSE 0 END AS dom,
+  list_transform(range(1, greatest(len(k) - 1, 1)), lambda i: k[i] || ' ' || k[i + 1] || ' ' || k[i + 2]) AS g FROM a),
+g1 AS (SELECT doc_id, p, count(*) AS c FROM (SELECT doc_id, unnest(g) AS p FROM b WHERE len(k) >= 12) GROUP BY ALL),
+g2 AS (SELECT doc_id, max(c) AS c, min_by(p, (-c, p)) AS p FROM g1 GROUP BY doc_id),
+m AS (SELECT b.*, ({_META}) AS meta, len(list_filter({X.lines('t')}, lambda x: regexp_matches(x, '{X.esc(Q.PLANNING)}'))) AS plan, g2.c AS gc, g2.p AS gp FROM b LEFT JOIN g2 USING (doc_id)),
+i AS (SELECT doc_id, n, u, list_filter([CASE WHEN n < 8 THEN 'too_short' END, CASE WHEN n >= 8 AND u < 0.12 THEN 'low_variety' END, CASE WHEN n >= 10 AND dom > 0.35 * n THEN 'repetitive_token' END,
+  CASE WHEN gc >= 4 AND length(gp) * gc > 0.25 * length(t) THEN 'repeated_phrase' END, CASE WHEN meta > 2 OR plan >= 4 THEN 'model_reasoning' END,
+  CASE WHEN regexp_matches(t, '(?:\\b\\d+\\b[\\s,]){{12,}}') THEN 'numeric_spam' END], lambda x: x IS NOT NULL) AS issues FROM m)
+SELECT doc_id, len(issues) = 0 AS ok, issues, n AS word_count, {X.rnd('u', 4)} AS unique_word_ratio FROM i""")
 def page_quality(spark, d):
     return Q.page_quality(docs(spark, d).select("doc_id", "text"), "text").select("doc_id", "page.*")
 
 
-@query("play_detect")
+_PB = " + ".join(f"CASE WHEN regexp_matches(h, '{X.esc(p)}') THEN 1 ELSE 0 END" for p in M.PLAY_BODY)
+
+
+@query("play_detect", f"""
+WITH a AS (SELECT doc_id, coalesce(title, '') AS t, substring(coalesce(text, ''), 1, 15000) AS h FROM documents)
+SELECT doc_id, CASE WHEN regexp_matches(t, '{M.NOVEL}') THEN NULL WHEN regexp_matches(t, '{M.PLAY_TITLE}') THEN 'title' WHEN {_PB} >= 3 THEN 'body'
+WHEN len(regexp_extract_all(h, '{X.esc(M.PLAY_BODY[3])}')) >= 20 THEN 'stage_directions' END AS play FROM a""")
 def play_detect(spark, d):
     return docs(spark, d).select("doc_id", M.play(F.col("title"), F.col("text")).alias("play"))
 
@@ -476,7 +501,9 @@ def eval_summary(spark, d):
     return runs.summary(run(spark, d).withColumn("score", F.col("delta.score")), "plot", "scene", "score")
 
 
-@query("eval_hit_rates")
+@query("eval_hit_rates", _RUN.replace("r AS (SELECT c.chunk_id", "hits AS (" + " UNION ALL ".join(
+    f"SELECT '{f}' AS field, coalesce(s.{f} = c.{f}, false) AS hit FROM c JOIN s USING (story_id) WHERE s.{f} IS NOT NULL" for f in _FIELDS) + "), r AS (SELECT c.chunk_id")
+    + f" SELECT field, count(*) AS n, {X.rnd('avg(CASE WHEN hit THEN 1.0 ELSE 0.0 END)', 4)} AS hit_rate FROM hits GROUP BY field")
 def eval_hit_rates(spark, d):
     return runs.hit_rates(run(spark, d).select(F.col("delta.matches").alias("m")), "m")
 
