@@ -138,6 +138,17 @@ s AS (SELECT source_dataset, k, count(DISTINCT chunk_id) AS c FROM l WHERE k <>
 SELECT DISTINCT l.chunk_id, CAST(l.line_no AS INTEGER) AS line_no
 FROM l JOIN s USING (source_dataset, k) JOIN n USING (source_dataset)
 WHERE s.c >= 5 AND s.c >= 0.03 * n.n AND len(list_filter(regexp_split_to_array(line, '\s+'), lambda w: regexp_matches(w, '\p{L}'))) >= 3
+""",
+    "p4_clean": r"""
+WITH c AS (SELECT DISTINCT chunk_id, source_dataset, text FROM chunks),
+l AS (SELECT chunk_id, source_dataset, i, line, regexp_replace(lower(line), '[^\p{L}]+', '', 'g') AS k
+      FROM (SELECT chunk_id, source_dataset, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM c WHERE text IS NOT NULL)),
+n AS (SELECT source_dataset, count(DISTINCT chunk_id) AS n FROM c GROUP BY source_dataset),
+s AS (SELECT source_dataset, k, count(DISTINCT chunk_id) AS c FROM l WHERE k <> '' AND source_dataset IS NOT NULL GROUP BY source_dataset, k),
+h AS (SELECT s.source_dataset, s.k FROM s JOIN n USING (source_dataset) WHERE s.c >= 5 AND s.c >= 0.03 * n.n),
+o AS (SELECT chunk_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE h.k IS NULL OR len(list_filter(regexp_split_to_array(line, '\s+'), lambda w: regexp_matches(w, '\p{L}'))) < 3), '') AS text
+      FROM l LEFT JOIN h ON h.source_dataset = l.source_dataset AND h.k = l.k GROUP BY chunk_id)
+SELECT chunk_id, o.text FROM (SELECT DISTINCT chunk_id FROM c) LEFT JOIN o USING (chunk_id)
 """,
     "p5_found": """
 WITH s AS (
