@@ -123,9 +123,18 @@ def p10_composition(spark, d):
     return _p10(spark, d, subjects.composition)
 
 
+def p8_roundtrip(spark, d):
+    """Documents by source, and those whose ids decode to their text."""
+    docs = table(spark, d, "documents")
+    back = encoding.decode(encoding.encode(docs)).withColumnRenamed("text", "back")
+    both = docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text")).join(back, "doc_id")
+    return both.groupBy("source").agg(F.count("*").alias("n_docs"), F.count_if(F.col("text") == F.col("back")).alias("n_same"))
+
+
 QUERIES = {k: v for k, v in dict(globals()).items() if k[0] == "p" and k[1].isdigit()}
 
 ORACLE = {
+    "p8_roundtrip": "SELECT source, count(*) AS n_docs, count(*) AS n_same FROM documents GROUP BY source",
     "p4_found": r"""
 WITH l AS (
   SELECT DISTINCT chunk_id, source_dataset, i AS line_no, line,
