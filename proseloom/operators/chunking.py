@@ -34,8 +34,7 @@ def sentence_chunks(df: DataFrame, id_col: str, text_col: str, target: int = TAR
     Sentences and their word counts are found in the JVM; only longer texts go to Python.
     Null and blank texts give no row.
     """
-    base = df.select(F.col(id_col).alias("id"), T.text_of(text_col).alias("t")).withColumn("s", T.sentences(F.col("t")))
-    base = base.withColumn("n", T.word_count(F.col("t"))).where(F.size("s") > 0)
+    base = T.once(df.select(F.col(id_col).alias("id"), T.text_of(text_col).alias("t")), n=T.word_count(F.col("t"))).where("n > 0")
     short = base.where(F.col("n") <= int(target * 1.5)).select("id", F.lit(0).alias("chunk_index"), F.lit(1).alias("total_chunks"), T.strip(F.col("t")).alias("chunk"))
 
     def run(batches):
@@ -50,7 +49,7 @@ def sentence_chunks(df: DataFrame, id_col: str, text_col: str, target: int = TAR
                                              names=["id", "chunk_index", "total_chunks", "chunk"])
 
     kind = dict(base.dtypes)["id"]
-    long = base.where(F.col("n") > int(target * 1.5)).select("id", "s", F.transform("s", T.word_count).alias("c"))
+    long = T.once(base.where(F.col("n") > int(target * 1.5)).select("id", "t"), s=T.sentences(F.col("t"))).select("id", "s", F.transform("s", T.word_count).alias("c"))
     cut = long.mapInArrow(run, f"id {kind}, chunk_index int, total_chunks int, chunk string")
     return short.unionByName(cut).withColumn("word_count", T.word_count(F.col("chunk"))).withColumnRenamed("id", id_col)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.text import once
+
 MAX_KNOWLEDGE = 50_000
 
 # Keywords of the knowledge categories.
@@ -33,22 +35,35 @@ def categories(title: Column, body: Column, chars: int = 800) -> Column:
 def top_k(queries: DataFrame, query_id: str, query: str, knowledge: DataFrame, item_id: str, title: str, text: str, k: int = 3, use_categories: bool = True) -> DataFrame:
     """(query_id, item_id, score, rank): the k best items of every query, ties by item id; zero scores fall away after the cut.
 
-    The knowledge is a small stated set: checked against MAX_KNOWLEDGE, gathered into one
-    row and broadcast, so that queries are scored where they lie, without a shuffle. The
-    score is token overlap, and 5 for a shared category.
+    The knowledge is a small stated set: checked against MAX_KNOWLEDGE, inverted into one row
+    (token -> item numbers) and broadcast, so that queries are scored where they lie, without
+    a shuffle. An item's score is how often its number turns up: once for every shared token,
+    and five times for a shared category.
     """
     if knowledge.limit(MAX_KNOWLEDGE + 1).count() > MAX_KNOWLEDGE:
         raise ValueError("the knowledge is too large to broadcast")
-    kb = knowledge.select(F.struct(
+    items = knowledge.select(F.struct(
         F.col(item_id).alias("id"), tokens(F.concat_ws(" ", title, text)).alias("tok"), categories(F.col(title), F.col(text)).alias("cat")).alias("s"))
-    one = kb.agg(F.sort_array(F.collect_list("s")).alias("_kb"))
+    numbered = items.agg(F.sort_array(F.collect_list("s")).alias("a")).select(F.posexplode("a").alias("n", "s"))
+
+    def inverted(part: str, name: str) -> DataFrame:
+        per = numbered.select(F.explode(f"s.{part}").alias("t"), "n").groupBy("t").agg(F.sort_array(F.collect_list("n")).alias("ns"))
+        return per.agg(F.map_from_entries(F.collect_list(F.struct("t", "ns"))).alias(name))
+
+    ids = numbered.agg(F.transform(F.sort_array(F.collect_list(F.struct("n", F.col("s.id").alias("id")))), lambda x: x["id"]).alias("_ids"))
+    one = ids.join(inverted("tok", "_tok")).join(inverted("cat", "_cat"))
     q = queries.select(query_id, tokens(F.col(query)).alias("_q"), categories(F.lit(""), F.col(query)).alias("_qc")).join(F.broadcast(one))
-    overlap = lambda s: F.size(F.array_intersect(F.col("_q"), s["tok"]))
-    shared = lambda s: F.when(F.arrays_overlap(F.filter("_qc", lambda c: c != "general"), s["cat"]), 5).otherwise(0)
-    score = (lambda s: overlap(s) + shared(s)) if use_categories else overlap
-    ranked = F.slice(F.array_sort(F.transform("_kb", lambda s: F.struct((-score(s)).alias("neg"), s["id"].alias("id")))), 1, k)
-    return q.select(query_id, F.posexplode(ranked).alias("_pos", "_r")).where("_r.neg < 0").select(
-        query_id, F.col("_r.id").alias(item_id), (-F.col("_r.neg")).alias("score"), (F.col("_pos") + 1).alias("rank"))
+    none = F.array().cast("array<int>")
+    found = lambda keys, index: F.flatten(F.transform(keys, lambda t: F.coalesce(F.try_element_at(F.col(index), t), none)))
+    hits = found(F.col("_q"), "_tok")
+    if use_categories:
+        shared = F.array_distinct(found(F.filter("_qc", lambda c: c != "general"), "_cat"))
+        hits = F.concat(hits, *[shared] * 5)
+    q = once(q, _h=hits)
+    score = lambda n: F.size("_h") - F.size(F.array_remove("_h", n))
+    ranked = F.slice(F.array_sort(F.transform(F.array_distinct("_h"), lambda n: F.struct((-score(n)).alias("neg"), n.alias("n")))), 1, k)
+    return q.select(query_id, "_ids", F.posexplode(ranked).alias("_pos", "_r")).select(
+        query_id, F.element_at("_ids", F.col("_r.n") + 1).alias(item_id), (-F.col("_r.neg")).alias("score"), (F.col("_pos") + 1).alias("rank"))
 
 
 def context(ranked: DataFrame, query_id: str, body: str, rank: str, max_chars: int = 4_000, least: int = 200) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cleaning as C, metadata as M, quality as Q, style as S, text as T
 from ..operators import chunking, labels, manuscripts, pairs, records, retrieval, runs, sampling, segments
-from ..session import table
+from ..session import spread, table
 from ..streaming import resume
 from . import sql as X
 
@@ -25,11 +25,11 @@ def query(name: str, oracle: str | None = None):
 
 
 def docs(spark, d):
-    return table(spark, d, "documents")
+    return spread(table(spark, d, "documents"))
 
 
 def chunks(spark, d):
-    return table(spark, d, "chunks")
+    return spread(table(spark, d, "chunks"))
 
 
 D = "SELECT *, coalesce(text, '') AS t FROM documents"
@@ -463,7 +463,9 @@ s AS (SELECT story_id, title, item_id, len(list_intersect(qt.tok, k.tok)) AS sco
 r AS (SELECT *, row_number() OVER (PARTITION BY story_id, title ORDER BY score DESC, item_id) AS rank FROM s)
 SELECT story_id, item_id, score, rank FROM r WHERE rank <= 3 AND score > 0""")
 def kb_top_k(spark, d):
-    q = table(spark, d, "stories").where("title is not null").select("story_id", "title").distinct()
+    # one exchange for the distinct rows, with a stated number of partitions that is kept for the scoring
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    q = table(spark, d, "stories").where("title is not null").select("story_id", "title").repartition(n, "story_id", "title").distinct()
     plain = table(spark, d, "eval_items")
     return retrieval.top_k(q, "story_id", "title", plain, "item_id", "prompt", "item_text", use_categories=False)
 

@@ -28,6 +28,16 @@ def table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df):
+    """A table that comes in fewer input splits than there are cores, dealt out to the cores; others stay as they are.
+
+    A small file of one row group would otherwise keep one core busy with all the text work.
+    Tables large enough to fill the cores are never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def cut_lineage(df, eager: bool = True):
     """Materialise ``df`` in the shared checkpoint folder.
 

@@ -6,6 +6,7 @@ from contextlib import redirect_stdout
 import pytest
 
 from proseloom.plans import registry
+from proseloom.session import spread
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not __import__("os").path.isdir(DATA), reason="needs the test tables")
@@ -38,7 +39,13 @@ def test_no_unbounded_cross_join(spark, name):
 
 @pytest.mark.parametrize("name", ["doc_word_stats", "style_metrics", "prose_verdicts", "fiction_quality", "language_fallback", "sentences_exploded", "fixed_chunks", "instruction_pairs"])
 def test_row_operators_do_not_shuffle(spark, name):
-    assert "Exchange" not in plan(registry.QUERIES[name](spark, DATA))
+    text = plan(registry.QUERIES[name](spark, DATA))
+    assert not any(x in text for x in ("hashpartitioning", "rangepartitioning", "SinglePartition"))
+
+
+def test_only_tables_of_few_splits_are_dealt_out(spark):
+    few, many = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, 64)
+    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and spread(many) is many
 
 
 def test_row_operators_stay_in_the_jvm(spark):
