@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..session import table
+from ..session import spread, table
 from . import boilerplate, contamination, encoding, language, leakage, mixing, pieces, quality, splits, subjects
 
 
 def _chunks(spark, d):
-    return table(spark, d, "chunks")
+    return spread(table(spark, d, "chunks"))
+
+
+def _documents(spark, d):
+    return spread(table(spark, d, "documents"))
 
 
 def p1_found(spark, d):
@@ -83,12 +87,12 @@ def p7_stretches(spark, d):
 
 
 def p8_ids(spark, d):
-    return encoding.encode(table(spark, d, "documents"))
+    return encoding.encode(_documents(spark, d))
 
 
 def p8_lengths(spark, d):
     """Tokens, distinct texts and tokens per character by source."""
-    docs = table(spark, d, "documents")
+    docs = _documents(spark, d)
     both = encoding.encode(docs).join(docs.select("doc_id", "source", F.length(F.coalesce("text", F.lit(""))).alias("n")), "doc_id")
     return both.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum(F.size("ids")).alias("n_tokens"), F.sum("n").alias("n_chars"))
 
@@ -98,7 +102,7 @@ def p9_found(spark, d):
 
 
 def p9_leaks(spark, d):
-    return contamination.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+    return contamination.leaks(_documents(spark, d), table(spark, d, "eval_items"))
 
 
 def p9_report(spark, d):
@@ -108,7 +112,7 @@ def p9_report(spark, d):
 
 
 def _p10(spark, d, what):
-    return what(table(spark, d, "documents"), table(spark, d, "subjects"), table(spark, d, "subject_labels"))
+    return what(_documents(spark, d), table(spark, d, "subjects"), table(spark, d, "subject_labels"))
 
 
 def p10_found(spark, d):
@@ -125,7 +129,7 @@ def p10_composition(spark, d):
 
 def p8_roundtrip(spark, d):
     """Documents by source, and those whose ids decode to their text."""
-    docs = table(spark, d, "documents")
+    docs = _documents(spark, d)
     back = encoding.decode(encoding.encode(docs)).withColumnRenamed("text", "back")
     both = docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text")).join(back, "doc_id")
     return both.groupBy("source").agg(F.count("*").alias("n_docs"), F.count_if(F.col("text") == F.col("back")).alias("n_same"))
