@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 GRAM = 12              # letters of an index term
 RUN = 6                # letters of the shortest common run in the verification
 WINDOW, STEP = 260, 120  # letters of a passage, and between the starts of passages
-THRESHOLD = 40.0       # least BM25 score; 25 words with two of them changed keep about 27 sampled terms of at least 3 each
-BAND, IN_BAND = 64, 16  # letters by which edits may shift a passage, and sampled terms that must lie in that band (25 words with two changed keep 22 or more)
+THRESHOLD = 80.0       # least BM25 score; 25 words with two of them changed keep about 55 terms of at least 3 each
+BAND, IN_BAND = 64, 32  # letters by which edits may shift a passage, and terms that must lie in that band (25 short words with two changed keep 45)
 STRETCH, COVERED = 75, 0.62  # letters of the item that MIN_WORDS words exceed, and the part of them in common runs
 MIN_WORDS, ERRORS = 25, 0.1
 BLOCK = 16             # items of an index block
@@ -82,11 +82,6 @@ def run_hashes(c: np.ndarray) -> np.ndarray:
     return (h2[:-4] * _mul(2) + h2[2:-2]) * _mul(2) + h2[4:]
 
 
-def sampled(h: np.ndarray) -> np.ndarray:
-    """Every second hash value, the same ones in items and documents."""
-    return (h >> np.uint64(17)) & np.uint64(1) == 0
-
-
 def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, k) of every k < counts[row]."""
     row = np.repeat(np.arange(len(counts)), counts)
@@ -94,7 +89,7 @@ def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Index:
-    """BM25 inverted index of items over sampled letter grams, with block maxima."""
+    """BM25 inverted index of items over letter grams, with block maxima."""
 
     def __init__(self, items: list[tuple[int, str]], k1: float = 1.2, b: float = 0.5):
         self.ids = np.array([i for i, _ in items], dtype=np.int64)
@@ -103,10 +98,9 @@ class Index:
         h, item, pos = [], [], []
         for i, t in enumerate(self.texts):
             g = gram_hashes(_codes(t))
-            at = np.flatnonzero(sampled(g))
-            h.append(g[at])
-            item.append(np.full(len(at), i))
-            pos.append(at)
+            h.append(g)
+            item.append(np.full(len(g), i))
+            pos.append(np.arange(len(g)))
         h = np.concatenate([np.zeros(0, dtype=np.uint64), *h])
         item, pos = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (item, pos))
         order = np.lexsort((pos, item, h))
@@ -139,9 +133,8 @@ class Index:
         self._grams: dict[int, dict] = {}
 
     def lookup(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(positions in h, term numbers) of the sampled hashes that are terms."""
-        at = np.flatnonzero(sampled(h))
-        at = at[self.sieve[(h[at] >> np.uint64(44)).astype(np.int64)]]
+        """(positions in h, term numbers) of the hashes that are terms."""
+        at = np.flatnonzero(self.sieve[(h >> np.uint64(44)).astype(np.int64)])
         if not len(at) or not len(self.terms):
             return at[:0], at[:0]
         t = np.minimum(np.searchsorted(self.terms, h[at]), len(self.terms) - 1)
