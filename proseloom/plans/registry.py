@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as C, metadata as M, quality as Q, style as S, text as T
-from ..operators import chunking, labels, manuscripts, pairs, records, retrieval, runs, sampling, segments
+from ..operators import chunking, labels, pairs, records, retrieval, runs, sampling, segments
 from ..session import spread, table
 from ..streaming import resume
 from . import sql as X
@@ -116,11 +116,6 @@ def packed_paragraphs(spark, d):
     return chunking.packed(docs(spark, d), "doc_id", "text").select("doc_id", "part", F.length("piece").alias("n_chars"))
 
 
-@query("manuscript_sections")
-def manuscript_sections(spark, d):
-    return manuscripts.manuscript_sections(docs(spark, d).where("text is not null"), "doc_id", "text").select("doc_id", "section_no", "title", "page")
-
-
 @query("default_labels")
 def default_labels(spark, d):
     dims = [{"id": f, "values": ["low", "moderate", "high"]} for f in labels.FAST]
