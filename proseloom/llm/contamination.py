@@ -24,6 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from . import quality
+
 GRAM = 12              # letters of an index term
 RUN = 6                # letters of the shortest common run in the verification
 WINDOW, STEP = 260, 120  # letters of a passage, and between the starts of passages
@@ -354,7 +356,7 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     def run(batches):
         index = _index(content.value)
-        for b in batches:
+        for b in quality.portions(batches):
             got = match(index, b.column(0).to_pylist(), b.column(1).to_pylist())
             if got:
                 yield pa.RecordBatch.from_arrays(

@@ -265,7 +265,7 @@ def _partial(vocab_bc):
 
     def run(batches):
         parser = _parser(vocab_bc.value)
-        for b in batches:
+        for b in quality.portions(batches):
             d = b.to_pydict()
             owner, sizes, lang, sure, common = parse(parser, d["text"], True)
             n, k = len(d["text"]), len(langs)
@@ -316,7 +316,7 @@ def stretches(chunks: DataFrame, log: DataFrame) -> DataFrame:
 
     def run(batches):
         parser = _parser(bc.value)
-        for b in batches:
+        for b in quality.portions(batches):
             ids, pcs = b.column("chunk_id").to_pylist(), b.column("piece").to_pylist()
             owner, sizes, lang, sure = parse(parser, b.column("text").to_pylist())
             if not len(owner):

@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 PIECE = 65_536
@@ -177,6 +178,24 @@ def split_long(batches):
         yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("chunk_id", pa.int64()), ("piece", pa.int32()), ("cut_left", pa.bool_()), ("cut_right", pa.bool_()), ("text", pa.string())]))
 
 
+#: Characters that one step of vectorised work takes at once; its arrays hold several numbers for each.
+PORTION = 2_000_000
+
+
+def portions(batches, column: str = "text"):
+    """Arrow batches cut into slices of about PORTION characters (single texts stay whole), so that memory does not follow the batch size."""
+    for b in batches:
+        texts = b.column(column)
+        ends = pc.cumulative_sum(pc.fill_null(pc.utf8_length(texts), 0).cast(pa.int64())).to_pylist()
+        begin, taken = 0, 0
+        for i, e in enumerate(ends):
+            if i > begin and e - taken > PORTION:
+                yield b.slice(begin, i - begin)
+                begin, taken = i, ends[i - 1]
+        if begin < len(ends):
+            yield b.slice(begin)
+
+
 PIECES = "chunk_id long, piece int, cut_left boolean, cut_right boolean, text string"
 
 
