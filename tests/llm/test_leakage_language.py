@@ -25,6 +25,25 @@ def test_finds_equal_changed_and_moved_copies_only(spark, make_chunks):
     assert sum(r.n_exact for r in K.report(make_chunks(rows)).collect()) == 2
 
 
+def test_finds_copies_with_scattered_changes(make_chunks):
+    rng = random.Random(13)
+    base = [story(rng, 250) for _ in range(40)]
+    fifth = lambda t: " ".join(f"new{rng.randrange(10_000)}" if i % 5 == 4 else w for i, w in enumerate(t.split()))
+    rows = [{"chunk_id": i, "split": "train", "text": t} for i, t in enumerate(base)] + [{"chunk_id": 1000 + i, "split": "test", "text": fifth(t)} for i, t in enumerate(base)]
+    rows += [{"chunk_id": 2000 + i, "split": "test", "text": fifth(base[0])} for i in range(80)]
+    got = {(r.chunk_id_1, r.chunk_id_2) for r in K.overlaps(make_chunks(rows)).collect()}
+    want = {(i, 1000 + i) for i in range(40)} | {(0, 2000 + i) for i in range(80)}
+    assert got <= want and len(got) >= 0.95 * len(want)
+
+
+def test_most_kept_is_no_less_than_kept_share():
+    rng = random.Random(4)
+    for _ in range(50):
+        a = [rng.choice("abcdef") for _ in range(rng.randrange(1, 40))]
+        b = [rng.choice("abcdef") for _ in range(rng.randrange(1, 40))]
+        assert K.most_kept(a, b) >= K.kept_share(a, b)
+
+
 def test_large_groups_of_copies_keep_every_link_in_few_rows(make_chunks):
     rng = random.Random(11)
     a, b = story(rng), story(rng)
