@@ -29,7 +29,7 @@ from . import quality
 GRAM = 12              # letters of an index term
 RUN = 6                # letters of the shortest common run in the verification
 WINDOW, STEP = 260, 120  # letters of a passage, and between the starts of passages
-THRESHOLD = 80.0       # least BM25 score; 25 words with two of them changed keep about 55 terms of at least 3 each
+THRESHOLD = 80.0       # least BM25 score; impacts are no less than its IN_BAND-th part, so that it holds for any item table
 BAND, IN_BAND = 64, 32  # letters by which edits may shift a passage, and terms that must lie in that band (25 short words with two changed keep 45)
 STRETCH, COVERED = 75, 0.62  # letters of the item that MIN_WORDS words exceed, and the part of them in common runs
 MIN_WORDS, ERRORS = 25, 0.1
@@ -120,6 +120,7 @@ class Index:
         idf = np.log(1 + (n_items - df + 0.5) / (df + 0.5))
         impact = idf[p_term] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * size[p_item] / size.mean()))
         self.post_from = np.searchsorted(p_term, np.arange(len(self.terms)))
+        impact = np.maximum(impact, THRESHOLD / IN_BAND)
         self.post_n, self.post_item, self.post_impact = df, p_item, impact
         # block maxima: one entry per term and block of items
         self.n_blocks = -(-n_items // BLOCK)

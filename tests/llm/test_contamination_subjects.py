@@ -44,6 +44,18 @@ def test_pruned_search_equals_exhaustive_scoring():
     assert got == {(0, i) for i in range(40) if score[i] >= C.THRESHOLD} and (0, 3) in got
 
 
+def test_few_items_and_shared_passages_are_found(spark):
+    rng = random.Random(21)
+    shared = text(rng, 27).split()
+    shared[9] = shared[18] = "other"
+    alone = text(rng, 60)
+    items = [(i, f"{text(rng, 50)} {' '.join(shared)} {text(rng, 50)}") for i in range(6)]
+    docs = spark.createDataFrame([(1, alone), (2, f"{text(rng, 40)} {' '.join(shared)} {text(rng, 40)}")], "doc_id long, text string")
+    found = lambda rows: {(r.doc_id, r.item_id) for r in C.leaks(docs, spark.createDataFrame(rows, "item_id long, item_text string")).collect()}
+    assert found([(9, alone)]) == {(1, 9)}
+    assert found(items) == {(2, i) for i in range(6)}
+
+
 TOPICS = {"law": "court judge verdict lawsuit statute attorney".split(), "music": "violin melody chord orchestra rhythm sonata".split()}
 PLAIN = "the old man saw a garden near the river and she took the letter from a table in the house".split()
 
