@@ -290,8 +290,14 @@ def verdict(counts: DataFrame, *more: str) -> DataFrame:
 
 
 def stats(chunks: DataFrame, arrays: DataFrame) -> DataFrame:
-    """Statistics and verdict of every chunk, its source's boilerplate lines (``arrays``) left out."""
+    """Statistics and verdict of every chunk with text left, its source's boilerplate lines (``arrays``) left out."""
     from . import boilerplate
 
     clean = boilerplate.strip(chunks.select("chunk_id", "source_dataset", "text"), arrays)
     return verdict(merge(partials(pieces(clean))))
+
+
+def every_chunk(chunks: DataFrame, arrays: DataFrame) -> DataFrame:
+    """As ``stats``, and a row with zero counts and a null verdict for every chunk that has none there: text null or empty, or so without boilerplate."""
+    rows = chunks.select("chunk_id").distinct().join(stats(chunks, arrays), "chunk_id", "left")
+    return rows.na.fill(0, [c for c in rows.columns if c not in ("chunk_id", "verdict")])

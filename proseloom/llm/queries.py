@@ -34,11 +34,12 @@ def p2_report(spark, d):
 
 def p3_stats(spark, d):
     chunks = _chunks(spark, d)
-    return quality.stats(chunks, boilerplate.node_arrays(boilerplate.nodes(chunks)))
+    return quality.every_chunk(chunks, boilerplate.node_arrays(boilerplate.nodes(chunks)))
 
 
 def p3_found(spark, d):
-    return p3_stats(spark, d).where("verdict = 'other'").select("chunk_id")
+    chunks = _chunks(spark, d)
+    return quality.stats(chunks, boilerplate.node_arrays(boilerplate.nodes(chunks))).where("verdict = 'other'").select("chunk_id")
 
 
 def p4_found(spark, d):

@@ -36,6 +36,14 @@ def test_verdicts(spark, make_chunks):
     assert Q.stats(make_chunks([]), B.node_arrays(B.nodes(df.limit(0)))).count() == 0
 
 
+def test_every_chunk_has_statistics(make_chunks):
+    rows = [{"chunk_id": i, "source_dataset": "s", "text": "Read more at the shelf"} for i in range(6)]
+    df = make_chunks(rows + [{"chunk_id": 10}, {"chunk_id": 11, "text": " \n"}, {"chunk_id": 12, "text": ""}, {"chunk_id": 13, "text": PROSE}, {"chunk_id": 10}])
+    got = {r.chunk_id: r for r in Q.every_chunk(df, B.node_arrays(B.nodes(df))).collect()}
+    assert set(got) == {*range(6), 10, 11, 12, 13} and got[13].verdict == "prose"
+    assert all(got[i].verdict is None and got[i].n_words == got[i].n_lines == 0 and got[i].other_ratio == 0 for i in got if i != 13)
+
+
 def test_pieces_of_huge_texts_add_up(spark, make_chunks):
     long = PROSE * 900 + "\n" + "x9k" * 40_000 + "\n" + PROSE * 300
     whole, *_ = Q.Counts.of(long, False, False)
