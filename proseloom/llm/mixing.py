@@ -3,8 +3,9 @@
 Each corpus gets a quota of bytes: its share of the total, or all it may give when its
 segments repeated ``max_repeats`` times fall short. Following Pfair scheduling every use of a
 segment is a block with a release time (share-weighted bytes before it) and a deadline
-(bytes including it); earliest deadline first interleaves the blocks so that each corpus
-stays less than one block from its weight. Actual shares are reported.
+(bytes including it); earliest deadline first gives each block its position, so that at any
+deadline each corpus is less than one block behind that part of its quota and never ahead of
+it. Actual shares are reported.
 
 The usable size of a segment id is the bytes of its latest updated_at, if above zero; ties in
 updated_at take the larger bytes. Corpus names are the same apart from case, outer spaces and
@@ -17,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 BUCKETS = 64
+SPANS = 1024  # parts of the time line that are numbered apart
 
 
 def corpus_key(c):
@@ -44,12 +46,11 @@ def quotas(segments: DataFrame, targets: DataFrame) -> DataFrame:
     ).withColumn("quota", F.least("wanted_bytes", "most_bytes")).withColumn("short", F.col("wanted_bytes") > F.col("most_bytes"))
 
 
-def schedule(segments: DataFrame, targets: DataFrame) -> DataFrame:
-    """Blocks in earliest-deadline order: corpus, id, repeat_no, bytes, release, deadline.
+def used_blocks(segments: DataFrame, targets: DataFrame) -> DataFrame:
+    """Blocks with their times: corpus, id, repeat_no, bytes, release, deadline.
 
     A block is used when it starts before the corpus's quota ends, so a corpus exceeds it by
-    less than one block. Sort by (deadline, corpus, repeat_no, id) to interleave. Running
-    sums are taken inside hash buckets of a corpus and offset by the sums of the buckets
+    less than one block. Running sums are taken inside hash buckets of a corpus and offset by the sums of the buckets
     before, so that no corpus is one task.
     """
     q = quotas(segments, targets)
@@ -69,9 +70,24 @@ def schedule(segments: DataFrame, targets: DataFrame) -> DataFrame:
         "corpus", "id", "repeat_no", "bytes", (start / F.col("quota")).alias("release"), (end / F.col("quota")).alias("deadline"))
 
 
+def schedule(segments: DataFrame, targets: DataFrame) -> DataFrame:
+    """``used_blocks`` with their position, from 1, in the order of (deadline, corpus, repeat_no, id).
+
+    Deadlines spread evenly over the time line, so its spans are numbered apart and offset by
+    the counts of the spans before; no task holds all blocks.
+    """
+    blocks = used_blocks(segments, targets).withColumn("span", F.floor(F.col("deadline") * SPANS))
+    counts = blocks.groupBy("span").agg(F.count("*").alias("n"))  # about SPANS rows
+    before = W.orderBy("span").rowsBetween(W.unboundedPreceding, -1)
+    offsets = counts.select("span", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = W.partitionBy("span").orderBy("deadline", "corpus", "repeat_no", "id")
+    return blocks.withColumn("k", F.row_number().over(inside)).join(offsets, "span").select(
+        "corpus", "id", "repeat_no", "bytes", "release", "deadline", (F.col("offset") + F.col("k")).alias("position"))
+
+
 def shares(segments: DataFrame, targets: DataFrame) -> DataFrame:
     """Per corpus of the targets: target share, bytes and blocks used, actual share, most repeats, and whether it falls short."""
-    used = schedule(segments, targets).groupBy("corpus").agg(
+    used = used_blocks(segments, targets).groupBy("corpus").agg(
         F.sum("bytes").alias("used_bytes"), F.count("*").alias("n_blocks"), F.max("repeat_no").alias("n_repeats"))
     rows = quotas(segments, targets).join(used, "corpus", "left").na.fill(0, ["used_bytes", "n_blocks", "n_repeats"])
     total = rows.agg(F.sum("used_bytes").alias("all_used"))

@@ -20,6 +20,20 @@ def test_mix(spark):
     assert M.shares(seg.limit(0), tgt).count() == 4 and M.shares(seg, tgt.limit(0)).count() == 0
 
 
+def test_positions_follow_the_deadlines(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    seg = spark.createDataFrame([(f"{c}/{i}", c, 50 + 37 * i % 90, t0) for c in "abc" for i in range(60)], "id string, corpus string, bytes long, updated_at timestamp")
+    tgt = spark.createDataFrame([("a", 0.6, 3), ("b", 0.3, 2), ("c", 0.1, 1)], "corpus string, target_share double, max_repeats int")
+    rows = sorted(M.schedule(seg, tgt).collect(), key=lambda r: r.position)
+    assert [r.position for r in rows] == list(range(1, len(rows) + 1)) and len({(r.id, r.repeat_no) for r in rows}) == len(rows)
+    quota = {r.corpus: r.quota for r in M.quotas(seg, tgt).collect()}
+    most, had = max(r.bytes for r in rows), dict.fromkeys("abc", 0)
+    for r, following in zip(rows, rows[1:]):
+        had[r.corpus] += r.bytes
+        if r.deadline < following.deadline <= 1:
+            assert all(-1e-6 <= r.deadline * quota[c] - had[c] < most for c in "abc")
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="abc .\n!é日", min_size=0, max_size=900), st.integers(50, 120), st.integers(1, 20))
 def test_cuts_round_trip(text, limit, overlap):
