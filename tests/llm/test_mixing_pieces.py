@@ -34,6 +34,15 @@ def test_positions_follow_the_deadlines(spark):
             assert all(-1e-6 <= r.deadline * quota[c] - had[c] < most for c in "abc")
 
 
+def test_sentence_ends_outrank_line_ends():
+    line = "and so the words went on and on over the border of the line\n"
+    text = line * 50 + "Here it ended. " + line * 40
+    (_, end), *_ = P.cuts(text)
+    assert text[:end].endswith("ended. ")
+    wrapped = "The words of the first part\nended here.\n" * 200
+    assert all(wrapped[:e].endswith(".\n") for _, e in P.cuts(wrapped))
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="abc .\n!é日", min_size=0, max_size=900), st.integers(50, 120), st.integers(1, 20))
 def test_cuts_round_trip(text, limit, overlap):
