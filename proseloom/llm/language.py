@@ -270,7 +270,7 @@ def _partial(vocab_bc):
             owner, sizes, lang, sure, common = parse(parser, d["text"], True)
             n, k = len(d["text"]), len(langs)
             n_words, n_common = np.bincount(owner, sizes, n), np.bincount(owner, common, n)
-            prose = [quality.plainly_prose(t, w, c) for t, w, c in zip(d["text"], n_words.tolist(), n_common.tolist())]
+            prose = list(map(quality.plainly_prose, d["text"]))
             words = np.zeros((n, k), dtype=np.int64)
             np.add.at(words, (owner, lang), sizes)
             weight = np.zeros((n, k))

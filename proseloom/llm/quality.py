@@ -45,31 +45,78 @@ LABEL = re.compile(r"^\W*[^\W\d_][\w' ]{0,30}:\s+\S")
 SYMBOL = re.compile("[^\\w\\s" + re.escape(PLAIN_MARKS) + "]|_")
 #: a letter beside a digit, or a capital after a small letter
 INNER_CAPITAL = re.compile(r"[a-z][A-Z]")
-BROKEN_WORD = re.compile(r"[^\W\d_]\d|\d[^\W\d_]|[a-z][A-Z]")
+BROKEN_WORD = re.compile(r"\d(?:[^\W\d_]|(?<=[^\W\d_]\d))|[A-Z](?<=[a-z][A-Z])")
 
 # positions in a line's additive feature vector
 CHARS, WORDS, LETTERS, COMMON_WORDS, NUMBERS, SYMBOLS, TOKENS, BROKEN, LONG, COMMAS, LEADERS, LABELS, ENDED = range(13)
 
 
+LONG_TOKEN, LIST_COMMAS = 32, 0.45  # letters of an overlong token; commas a word in a list
+NO_TRAITS = (False, False, False, False)
+_marks: dict[str, int] = {}
+
+
+def _mark(c: str) -> int:
+    """1 for a digit, 2 for a symbol, else 0; remembered, as texts use few different characters."""
+    m = _marks.get(c)
+    if m is None:
+        m = 1 if NUMBER.match(c) else 2 if SYMBOL.match(c) else 0
+        if len(_marks) < 200_000:
+            _marks[c] = m
+    return m
+
+
 def traits(text: str) -> tuple[bool, bool, bool, bool]:
     """Whether a text has numbers, symbols, malformed words and overlong tokens anywhere; its lines skip what it has not."""
-    plain = text.isascii()
-    number = any(map(text.__contains__, "0123456789")) or not plain and NUMBER.search(text) is not None
-    symbol = any(map(text.__contains__, "|<>{}[]=\\/#^~*@%+&$_`")) or not plain and SYMBOL.search(text) is not None
+    seen = set(map(_mark, set(text)))
+    number, symbol = 1 in seen, 2 in seen
     broken = (BROKEN_WORD if number else INNER_CAPITAL).search(text) is not None
-    return number, symbol, broken, max(map(len, text.split()), default=0) > 32
+    return number, symbol, broken, max(map(len, text.split()), default=0) > LONG_TOKEN
 
 
-def plainly_prose(text: str, n_words: int, n_common: int) -> bool:
-    """Whether no more than half of a text can be judged other, without looking at its lines.
+def plainly_prose(text: str) -> bool:
+    """Whether ``Counts.of`` would judge no line of a text other, found without the features of most lines.
 
-    Lines without numbers, symbols, malformed words and overlong tokens are only other as
-    comma lists, as labels of up to six words or by dotted leaders.
+    Lines without numbers, symbols, malformed words, overlong tokens and leaders are only other
+    as comma lists or as labels. Every token of letters alone has a word, so a line with too few
+    commas for those is no list; lines that may be either are judged. With no other characters
+    at all the verdict is prose, however the lines fall between prose and open.
     """
-    return (
-        n_common >= 0.2 * n_words > 0 and text.count(",") < 0.15 * n_words and text.count(":") * 12 < n_words
-        and ".." not in text and ". ." not in text and not any(map(text.__contains__, "0123456789|<>{}[]=\\/#^~*@%+&$_`")) and not any(traits(text))
-    )
+    if any(map(_mark, set(text))) or ".." in text or ". ." in text or INNER_CAPITAL.search(text):
+        return False
+    for line in text.split("\n"):
+        tokens = line.split()
+        if tokens and max(map(len, tokens)) > LONG_TOKEN:
+            return False
+        commas = line.count(",")
+        if commas > 1 and commas >= LIST_COMMAS * sum(map(str.isalpha, tokens)) or ":" in line and LABEL.match(line.strip()):
+            if judge(line_features(line, NO_TRAITS)) == 1:
+                return False
+    return True
+
+
+def is_other(text: str) -> bool:
+    """The verdict of ``Counts.of`` on a whole text: more than half of its characters are no prose.
+
+    Lines are judged from the longest down until neither side can be overtaken.
+    """
+    if plainly_prose(text):
+        return False
+    has = traits(text)
+    lines = sorted((x for x in text.split("\n") if x.strip()), key=len, reverse=True)
+    total = sum(map(len, lines)) + len(lines)
+    other = prose = 0
+    for line in lines:
+        kind = judge(line_features(line, has))
+        if kind == 1:
+            other += len(line) + 1
+            if other * 2 > total:
+                return True
+        elif kind == 0:
+            prose += len(line) + 1
+            if prose * 2 >= total:
+                return False
+    return other > prose  # the open lines follow the larger part, so it has more than half
 
 
 def line_features(line: str, has: tuple = (True, True, True, True)) -> list[int]:
@@ -79,8 +126,8 @@ def line_features(line: str, has: tuple = (True, True, True, True)) -> list[int]
     if has[2] or has[3]:
         tokens = s.split()
         n_tokens = len(tokens)
-        if has[3] and tokens and max(map(len, tokens)) > 32:
-            long = sum(len(t) for t in tokens if len(t) > 32 and (len(WORD.findall(t)) < 2 or not any(c in t for c in "-—….")))
+        if has[3] and tokens and max(map(len, tokens)) > LONG_TOKEN:
+            long = sum(len(t) for t in tokens if len(t) > LONG_TOKEN and (len(WORD.findall(t)) < 2 or not any(c in t for c in "-—….")))
         if has[2] and BROKEN_WORD.search(s):
             broken = sum(1 for t in tokens if BROKEN_WORD.search(t))
     return [
@@ -104,7 +151,7 @@ def judge(f) -> int:
     share = common / words if words else 0.0
     if units >= 2 and f[NUMBERS] >= 0.2 * units and share < 0.34:
         return 1
-    if words >= 4 and f[COMMAS] >= 0.45 * words and share <= 0.1:
+    if words >= 4 and f[COMMAS] >= LIST_COMMAS * words and share <= 0.1:
         return 1
     if f[LABELS] and words <= 6 and common == 0:
         return 1

@@ -32,6 +32,10 @@ def p2_report(spark, d):
     return leakage.report(_chunks(spark, d))
 
 
+def p2_classes(spark, d):
+    return leakage.class_members(_chunks(spark, d))
+
+
 def p3_stats(spark, d):
     chunks = _chunks(spark, d)
     return quality.every_chunk(chunks, boilerplate.node_arrays(boilerplate.nodes(chunks)))
