@@ -47,16 +47,15 @@ def p3_found(spark, d):
 
 
 def p4_found(spark, d):
-    return boilerplate.found_lines(_chunks(spark, d))
+    return boilerplate.found_lines(_chunks(spark, d)).select("chunk_id", "line_no")
 
 
 def p4_blocks(spark, d):
-    return boilerplate.blocks(_chunks(spark, d))
+    return boilerplate.block_sizes(_chunks(spark, d))
 
 
 def p4_clean(spark, d):
-    chunks = _chunks(spark, d).select("chunk_id", "source_dataset", "text")
-    return boilerplate.strip(chunks, boilerplate.node_arrays(boilerplate.nodes(chunks))).select("chunk_id", "text").distinct()
+    return boilerplate.clean(_chunks(spark, d))
 
 
 def p5_found(spark, d):
@@ -156,6 +155,22 @@ s AS (SELECT source_dataset, k, count(DISTINCT chunk_id) AS c FROM l WHERE k <>
 SELECT DISTINCT l.chunk_id, CAST(l.line_no AS INTEGER) AS line_no
 FROM l JOIN s USING (source_dataset, k) JOIN n USING (source_dataset)
 WHERE s.c >= 5 AND s.c >= 0.03 * n.n AND len(list_filter(regexp_split_to_array(line, '\s+'), lambda w: regexp_matches(w, '\p{L}'))) >= 3
+""",
+    "p4_blocks": r"""
+WITH RECURSIVE l AS (
+  SELECT DISTINCT chunk_id, source_dataset, i AS line_no, line, regexp_replace(lower(line), '[^\p{L}]+', '', 'g') AS k
+  FROM (SELECT chunk_id, source_dataset, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i
+        FROM chunks WHERE source_dataset IS NOT NULL AND text IS NOT NULL)),
+n AS (SELECT source_dataset, count(DISTINCT chunk_id) AS n FROM chunks GROUP BY source_dataset),
+s AS (SELECT source_dataset, k, count(DISTINCT chunk_id) AS c FROM l WHERE k <> '' GROUP BY source_dataset, k),
+h AS (SELECT source_dataset, k, c FROM s JOIN n USING (source_dataset) WHERE c >= 5 AND c >= 0.03 * n.n),
+o AS (SELECT chunk_id, source_dataset, line_no, k FROM l JOIN h USING (source_dataset, k) WHERE len(list_filter(regexp_split_to_array(line, '\s+'), lambda w: regexp_matches(w, '\p{L}'))) >= 3),
+w AS (SELECT a.source_dataset, a.k, b.k AS k2, count(DISTINCT a.chunk_id) AS w FROM o a JOIN o b ON b.chunk_id = a.chunk_id AND b.source_dataset = a.source_dataset AND b.line_no = a.line_no + 1 GROUP BY ALL),
+g AS (SELECT w.source_dataset, w.k, w.k2 FROM w JOIN h a ON a.source_dataset = w.source_dataset AND a.k = w.k JOIN h b ON b.source_dataset = w.source_dataset AND b.k = w.k2 WHERE w.w >= 0.5 * least(a.c, b.c)),
+u AS (SELECT source_dataset, k, k2 FROM g UNION SELECT source_dataset, k2, k FROM g),
+r AS (SELECT source_dataset, k, k AS root FROM h UNION SELECT r.source_dataset, u.k2, r.root FROM r JOIN u ON u.source_dataset = r.source_dataset AND u.k = r.k),
+c AS (SELECT source_dataset, k, min(root) AS root FROM r GROUP BY source_dataset, k)
+SELECT source_dataset, count(*) AS n_lines, min(h.c) AS least_support, max(h.c) AS most_support FROM c JOIN h USING (source_dataset, k) GROUP BY source_dataset, root
 """,
     "p4_clean": r"""
 WITH c AS (SELECT DISTINCT chunk_id, source_dataset, text FROM chunks),

@@ -21,7 +21,11 @@ def test_lines_blocks_and_cleaning(spark, make_chunks):
     assert len(blocks) == 2 and len({b.block for b in blocks}) == 1 and {b.support for b in blocks} == {10}
     clean = {r.chunk_id: r.text for r in B.strip(df.select("chunk_id", "source_dataset", "text"), B.node_arrays(B.nodes(df))).collect()}
     assert "\n" not in clean[4] and clean[100] == foot[1] and clean[101] is None and clean[102] == ""
-    assert B.found_lines(make_chunks([])).count() == 0 and B.blocks(make_chunks([])).count() == 0
+    small = B.node_arrays(B.nodes(df), most=0)
+    assert "salt" in small.columns and {r.chunk_id: r.text for r in B.strip(df.select("chunk_id", "source_dataset", "text"), small).collect()} == clean
+    assert {r.chunk_id: r.text for r in B.clean(df).collect()} == clean and {(r.n_lines, r.least_support) for r in B.block_sizes(df).collect()} == {(2, 10)}
+    assert {(r.chunk_id, r.line_no) for r in B.occurrences(df, small).selectExpr("chunk_id", "inline(hits)").collect()} == found
+    assert B.found_lines(make_chunks([])).count() == 0 and B.clean(make_chunks([])).count() == 0 and B.blocks(make_chunks([])).count() == 0
 
 
 def test_verdicts(spark, make_chunks):
