@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from ..session import spread, table
 from . import boilerplate, contamination, encoding, language, leakage, mixing, pieces, quality, splits, subjects
@@ -62,6 +62,13 @@ def p5_found(spark, d):
     return mixing.shares(table(spark, d, "segment_records"), table(spark, d, "mix_targets")).where("short").select("corpus")
 
 
+def p5_usable(spark, d):
+    """Usable bytes and segments of each corpus."""
+    t = table(spark, d, "mix_targets")
+    own = mixing.usable_segments(table(spark, d, "segment_records"), t).groupBy("corpus").agg(F.sum("bytes").alias("own_bytes"), F.count("*").alias("n_segments"))
+    return t.select("corpus").join(own, "corpus", "left").na.fill(0)
+
+
 def p5_shares(spark, d):
     return mixing.shares(table(spark, d, "segment_records"), table(spark, d, "mix_targets"))
 
@@ -78,6 +85,15 @@ def p6_pieces(spark, d):
     return pieces.split_texts(_chunks(spark, d))
 
 
+def p6_roundtrip(spark, d):
+    """Of every oversized text the digest of its pieces joined without the shared parts, and the pieces that break the limit or the overlap."""
+    p = pieces.split_texts(_chunks(spark, d))
+    shared = F.coalesce(F.lag("end_char").over(W.partitionBy("chunk_id").orderBy("piece_no")) - F.col("start_char"), F.lit(0))
+    p = p.withColumn("shared", shared).withColumn("bad", (F.length("piece") > 4000) | (F.col("piece_no") > 1) & ~F.col("shared").between(1, 200))
+    tail = F.array_sort(F.collect_list(F.struct("piece_no", F.expr("substring(piece, shared + 1)").alias("t"))))  # the pieces of one text
+    return p.groupBy("chunk_id").agg(F.md5(F.array_join(F.transform(tail, lambda x: x["t"]), "").cast("binary")).alias("hash"), F.count_if("bad").alias("n_bad"))
+
+
 def p7_found(spark, d):
     return language.unstated(_chunks(spark, d), table(spark, d, "skipped_non_english"))
 
@@ -193,6 +209,16 @@ t AS (SELECT m.corpus, m.target_share, m.max_repeats, coalesce(own.b, 0) AS b
       FROM mix_targets m LEFT JOIN own ON own.k = replace(lower(trim(m.corpus)), '-', '_'))
 SELECT corpus FROM t WHERE target_share * (SELECT sum(b) FROM t) > max_repeats * b
 """,
+    "p5_usable": """
+WITH s AS (
+  SELECT replace(lower(trim(corpus)), '-', '_') AS k, id, bytes,
+         row_number() OVER (PARTITION BY replace(lower(trim(corpus)), '-', '_'), id ORDER BY updated_at DESC, bytes DESC NULLS LAST) AS rn
+  FROM segment_records),
+own AS (SELECT k, sum(bytes) AS b, count(*) AS n FROM s WHERE rn = 1 AND bytes > 0 GROUP BY k)
+SELECT m.corpus, CAST(coalesce(own.b, 0) AS BIGINT) AS own_bytes, coalesce(own.n, 0) AS n_segments
+FROM mix_targets m LEFT JOIN own ON own.k = replace(lower(trim(m.corpus)), '-', '_')
+""",
+    "p6_roundtrip": "SELECT DISTINCT chunk_id, md5(text) AS hash, CAST(0 AS BIGINT) AS n_bad FROM chunks WHERE length(text) > 4000",
     "p6_found": "SELECT DISTINCT chunk_id FROM chunks WHERE length(text) > 4000",
     "p1_found": r"""
 WITH RECURSIVE r AS (
