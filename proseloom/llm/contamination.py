@@ -3,15 +3,19 @@
 Texts are reduced to their letters and digits (character escapes resolved, NFKC, lower case,
 nothing else), so that spacing, punctuation and broken lines cannot hide a passage. A BM25
 inverted index over letter grams of the evaluation items is queried with every passage of
-every document. Retrieval is block-max pruned: the summed block maxima of a passage's grams
-bound the score of every item of a block, and only blocks whose bound reaches the threshold
-are scored. Retrieved pairs whose matches lie along one diagonal are verified by chaining
-the common runs and counting the item's words that stay.
+every document. Retrieval skips by upper bounds as block-max WAND does, for all passages of a
+batch at once: passages whose grams' greatest impacts sum to less than the threshold are
+dropped before any list is opened; of the others the block maxima bound the score of every
+block of items, and only the postings of blocks that can reach the threshold are read.
+Retrieved pairs whose matches lie along one diagonal are verified on the answer, the item's
+text, by chaining the common runs and counting its words that stay; for the question, the
+item's prompt, the part of its letters that the document holds is given with it.
 
 A document holds an item when it has at least 25 running words of it, with at most one word
 in ten changed, added or missing. Null and blank texts hold nothing; rows delivered again
-give the same pair once; an empty table gives an empty result. The items are a fixed small
-set: the index is broadcast, and refused above MAX_ITEM_CHARS.
+give the same pair once; an empty table gives an empty result. The index is built once, by
+the driver, and broadcast; items of more than PART_CHARS characters are dealt out by hash to
+several indexes, each searched with all documents.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from . import quality
 
@@ -34,7 +38,7 @@ BAND, IN_BAND = 64, 32  # letters by which edits may shift a passage, and terms
 STRETCH, COVERED = 75, 0.62  # letters of the item that MIN_WORDS words exceed, and the part of them in common runs
 MIN_WORDS, ERRORS = 25, 0.1
 BLOCK = 16             # items of an index block
-MAX_ITEM_CHARS = 20_000_000
+PART_CHARS = 10_000_000  # characters of the items of one index
 
 _ESCAPE = re.compile(r"\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})|\\[nrt]|%([0-9A-F]{2})")
 _DROP = re.compile(r"[\W_]+")
@@ -93,10 +97,12 @@ def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Index:
     """BM25 inverted index of items over letter grams, with block maxima."""
 
-    def __init__(self, items: list[tuple[int, str]], k1: float = 1.2, b: float = 0.5):
-        self.ids = np.array([i for i, _ in items], dtype=np.int64)
-        self.texts = [letters(t) for _, t in items]
-        self.words = [[len(w) for w in _MARKS.sub("", plain(t)).split()] for _, t in items]
+    def __init__(self, items: list[tuple], k1: float = 1.2, b: float = 0.5):
+        """``items``: (item id, text) or (item id, text, prompt) each."""
+        self.ids = np.array([x[0] for x in items], dtype=np.int64)
+        self.texts = [letters(x[1]) for x in items]
+        self.prompts = [np.unique(run_hashes(_codes(letters(x[2])))) if len(x) > 2 and x[2] else np.zeros(0, dtype=np.uint64) for x in items]
+        self.words = [[len(w) for w in _MARKS.sub("", plain(x[1])).split()] for x in items]
         h, item, pos = [], [], []
         for i, t in enumerate(self.texts):
             g = gram_hashes(_codes(t))
@@ -122,15 +128,17 @@ class Index:
         self.post_from = np.searchsorted(p_term, np.arange(len(self.terms)))
         impact = np.maximum(impact, THRESHOLD / IN_BAND)
         self.post_n, self.post_item, self.post_impact = df, p_item, impact
-        # block maxima: one entry per term and block of items
+        # block entries: one per term and block of items, with the block maximum and its postings
         self.n_blocks = -(-n_items // BLOCK)
         bkey = p_term * self.n_blocks + p_item // BLOCK
         starts = np.flatnonzero(np.concatenate([[True], bkey[1:] != bkey[:-1]])) if len(bkey) else np.zeros(0, dtype=np.int64)
         self.block_max = np.maximum.reduceat(impact, starts) if len(starts) else impact
+        self.block_post, self.block_posts = starts, np.diff(np.append(starts, len(bkey)))
         b_term = bkey[starts] // self.n_blocks
         self.block_no = bkey[starts] % self.n_blocks
         self.block_from = np.searchsorted(b_term, np.arange(len(self.terms)))
         self.block_n = np.bincount(b_term, minlength=len(self.terms))
+        self.term_max = np.maximum.reduceat(impact, self.post_from) if len(self.terms) else impact
         self.sieve = np.zeros(1 << 20, dtype=bool)
         self.sieve[(self.terms >> np.uint64(44)).astype(np.int64)] = True
         self._grams: dict[int, dict] = {}
@@ -146,25 +154,29 @@ class Index:
 
     def search(self, passage: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(passages, items) that score THRESHOLD or more; rows are a passage's terms."""
+        self.read = (0, 0)  # block entries and postings opened
         none = np.zeros(0, dtype=np.int64)
         if not len(term):
             return none, none
+        # passages are numbered without gaps, so sums over them are dense arrays
+        promising = np.bincount(passage, self.term_max[term]) >= THRESHOLD
+        some = promising[passage]
+        passage, term = passage[some], term[some]
         row, k = _spread(self.block_n[term])
         entry = self.block_from[term[row]] + k
-        # passages are numbered without gaps, so the bounds of a batch are one dense array
-        bound = np.bincount(passage[row] * self.n_blocks + self.block_no[entry], self.block_max[entry])
-        alive = np.flatnonzero(bound >= THRESHOLD)
-        if not len(alive):
+        at = passage[row] * self.n_blocks + self.block_no[entry]
+        slots, inverse = np.unique(at, return_inverse=True)
+        alive = np.bincount(inverse, self.block_max[entry], minlength=len(slots)) >= THRESHOLD
+        live = alive[inverse] if len(slots) else np.zeros(0, dtype=bool)
+        opened, row, entry = len(entry), row[live], entry[live]
+        r, k = _spread(self.block_posts[entry])
+        post = self.block_post[entry[r]] + k
+        self.read = (opened, len(post))
+        if not len(post):
             return none, none
-        row, k = _spread(self.post_n[term])
-        entry = self.post_from[term[row]] + k
-        at = passage[row] * self.n_blocks + self.post_item[entry] // BLOCK
-        spot = np.minimum(np.searchsorted(alive, at), len(alive) - 1)
-        ok = alive[spot] == at
-        row, entry = row[ok], entry[ok]
         n = len(self.ids)
-        ikey, inv = np.unique(passage[row] * n + self.post_item[entry], return_inverse=True)
-        score = np.bincount(inv, self.post_impact[entry])
+        ikey, inv = np.unique(passage[row[r]] * n + self.post_item[post], return_inverse=True)
+        score = np.bincount(inv, self.post_impact[post])
         ikey = ikey[score >= THRESHOLD]
         return ikey // n, ikey % n
 
@@ -270,8 +282,8 @@ class Index:
         return most
 
 
-def match(index: Index, ids: list[int], texts: list[str]) -> list[tuple[int, int, int]]:
-    """(doc id, item id, held words) of a batch."""
+def match(index: Index, ids: list[int], texts: list[str]) -> list[tuple[int, int, int, float]]:
+    """(doc id, item id, held words, part of the prompt) of a batch."""
     streams = [letters(t) if t else "" for t in texts]
     sizes = np.fromiter(map(len, streams), dtype=np.int64, count=len(streams))
     sep = GRAM  # documents are kept apart by as many blanks as a gram is long, less one
@@ -323,7 +335,14 @@ def match(index: Index, ids: list[int], texts: list[str]) -> list[tuple[int, int
             held = index.held_words(s[lo:hi], i, np.concatenate([np.clip(ends[(ends > lo) & (ends < hi)] - lo, 0, None), [hi - lo]]))
             if held:
                 out[dn, i] = max(held, out.get((dn, i), 0))
-    return [(ids[dn], int(index.ids[i]), held) for (dn, i), held in out.items()]
+    grams: dict[int, np.ndarray] = {}
+    rows = []
+    for (dn, i), held in out.items():
+        prompt = index.prompts[i]
+        if len(prompt) and dn not in grams:
+            grams[dn] = np.unique(run_hashes(_codes(streams[dn])))
+        rows.append((ids[dn], int(index.ids[i]), held, float(np.isin(prompt, grams[dn], assume_unique=True).mean()) if len(prompt) else 0.0))
+    return rows
 
 
 def _merge(ws: list[int], gap: int) -> list[tuple[int, int]]:
@@ -337,32 +356,33 @@ def _merge(ws: list[int], gap: int) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-_indexes: dict[int, Index] = {}
+_OUT = "doc_id long, item_id long, n_words int, prompt_part double"
 
 
-def _index(items: list[tuple[int, str]]) -> Index:
-    key = hash(tuple(items))
-    if key not in _indexes:
-        _indexes.clear()
-        _indexes[key] = Index(items)
-    return _indexes[key]
-
-
-def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id, n_words): every document and the items it holds, with the longest held passage in words."""
-    rows = [(r.item_id, r.item_text) for r in items.select("item_id", "item_text").where("item_text is not null").distinct().orderBy("item_id", "item_text").collect()]
-    if sum(len(t) for _, t in rows) > MAX_ITEM_CHARS:
-        raise ValueError("too many evaluation items to broadcast; run them in parts")
-    content = docs.sparkSession.sparkContext.broadcast(rows)
+def _search(docs: DataFrame, items: list[tuple]) -> DataFrame:
+    """Rows of ``leaks`` for the items of one index, which is unpickled once in each worker."""
+    index = docs.sparkSession.sparkContext.broadcast(Index(items))
 
     def run(batches):
-        index = _index(content.value)
         for b in quality.portions(batches):
-            got = match(index, b.column(0).to_pylist(), b.column(1).to_pylist())
+            got = match(index.value, b.column(0).to_pylist(), b.column(1).to_pylist())
             if got:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64()), pa.array([g[2] for g in got], pa.int32())],
-                    names=["doc_id", "item_id", "n_words"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*got), (pa.int64(), pa.int64(), pa.int32(), pa.float64()))], names=["doc_id", "item_id", "n_words", "prompt_part"])
+
+    return docs.mapInArrow(run, _OUT)
+
 
+def leaks(docs: DataFrame, items: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
+    """(doc_id, item_id, n_words, prompt_part): every document and the items it holds, with the longest held passage in words and the held part of the prompt's letters."""
+    items = items.select("item_id", "item_text", F.col("prompt") if "prompt" in items.columns else F.lit(None).cast("string").alias("prompt"))
+    items = items.where("item_id is not null and item_text is not null").groupBy("item_id", "item_text").agg(F.min("prompt").alias("prompt"))
+    chars = items.agg(F.coalesce(F.sum(F.length("item_text")), F.lit(0)).alias("n")).first().n
+    parts = max(1, -(-chars // part_chars))
     full = docs.where("text is not null").select("doc_id", "text")
-    return full.mapInArrow(run, "doc_id long, item_id long, n_words int").distinct()
+    out = None
+    for k in range(parts):  # one part of the items is on the driver at a time
+        own = items if parts == 1 else items.where(F.pmod(F.xxhash64("item_id", "item_text"), F.lit(parts)) == k)
+        rows = [(r.item_id, r.item_text, r.prompt) for r in own.orderBy("item_id", "item_text").collect()]
+        found = _search(full, rows)
+        out = found if out is None else out.unionByName(found)
+    return out.groupBy("doc_id", "item_id").agg(F.max("n_words").alias("n_words"), F.max("prompt_part").alias("prompt_part"))

@@ -118,7 +118,7 @@ def p8_lengths(spark, d):
 
 
 def p9_found(spark, d):
-    return p9_leaks(spark, d).select("doc_id", "item_id").distinct()
+    return p9_leaks(spark, d).select("doc_id", "item_id")
 
 
 def p9_leaks(spark, d):
@@ -128,7 +128,7 @@ def p9_leaks(spark, d):
 def p9_report(spark, d):
     """Leaked documents and the longest held passage of each test item that leaked."""
     suites = table(spark, d, "eval_items").select("item_id", "suite")
-    return p9_leaks(spark, d).groupBy("item_id").agg(F.count_distinct("doc_id").alias("n_docs"), F.max("n_words").alias("most_words")).join(suites, "item_id")
+    return p9_leaks(spark, d).groupBy("item_id").agg(F.count_distinct("doc_id").alias("n_docs"), F.max("n_words").alias("most_words"), F.count_if(F.col("prompt_part") >= 0.9).alias("n_with_prompt")).join(suites, "item_id")
 
 
 def _p10(spark, d, what):

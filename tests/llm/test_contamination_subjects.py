@@ -42,6 +42,10 @@ def test_pruned_search_equals_exhaustive_scoring():
         for e in range(ix.post_from[t], ix.post_from[t] + ix.post_n[t]):
             score[ix.post_item[e]] += ix.post_impact[e]
     assert got == {(0, i) for i in range(40) if score[i] >= C.THRESHOLD} and (0, 3) in got
+    postings = sum(int(ix.post_n[t]) for t in term)
+    assert ix.read[1] < postings  # blocks that cannot reach the threshold are not read
+    few = term[:10]  # too few terms for any item: no list is opened
+    assert not len(ix.search(np.zeros(10, dtype=np.int64), few)[0]) and ix.read == (0, 0)
 
 
 def test_few_items_and_shared_passages_are_found(spark):
@@ -53,6 +57,16 @@ def test_few_items_and_shared_passages_are_found(spark):
     docs = spark.createDataFrame([(1, alone), (2, f"{text(rng, 40)} {' '.join(shared)} {text(rng, 40)}")], "doc_id long, text string")
     found = lambda rows: {(r.doc_id, r.item_id) for r in C.leaks(docs, spark.createDataFrame(rows, "item_id long, item_text string")).collect()}
     assert found([(9, alone)]) == {(1, 9)}
+    short = text(rng, 30)
+    docs = spark.createDataFrame([(1, f"{text(rng, 40)} {short} {text(rng, 40)}"), (2, f"{text(rng, 40)} {' '.join(shared)} {text(rng, 40)}"), (1, short)], "doc_id long, text string")
+    for n in (1, 2, 3, 150):  # a whole short item, however many others there are
+        assert found([(0, short), *[(i, text(rng, 60)) for i in range(1, n)]]) == {(1, 0)}
+    many = [(i, f"{text(rng, 30)} {' '.join(shared)} {text(rng, 30)}") for i in range(150)]  # a passage of every item
+    assert found(many) == {(2, i) for i in range(150)}
+    it = spark.createDataFrame([(i, t, short if i == 7 else None) for i, t in many], "item_id long, item_text string, prompt string")
+    got = C.leaks(docs.unionAll(spark.createDataFrame([(3, f"{short}. {' '.join(shared)}")], docs.schema)), it, part_chars=5_000).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(d, i) for d in (2, 3) for i in range(150)} and len(got) == 300
+    assert {r.item_id for r in got if r.prompt_part > 0.9} == {7} and all(r.doc_id == 3 for r in got if r.prompt_part > 0.9)
     assert found(items) == {(2, i) for i in range(6)}
 
 
