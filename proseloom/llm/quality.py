@@ -217,12 +217,15 @@ def cut(text: str, size: int = PIECE):
 def split_long(batches):
     for b in batches:
         rows = b.to_pydict()
-        out = {"chunk_id": [], "piece": [], "cut_left": [], "cut_right": [], "text": []}
+        out = {"chunk_id": [], "piece": [], "start": [], "cut_left": [], "cut_right": [], "text": []}
         for cid, text in zip(rows["chunk_id"], rows["text"]):
+            start = 0
             for k, (piece, left, right) in enumerate(cut(text)):
-                for name, v in zip(out, (cid, k, left, right, piece)):
+                for name, v in zip(out, (cid, k, start, left, right, piece)):
                     out[name].append(v)
-        yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("chunk_id", pa.int64()), ("piece", pa.int32()), ("cut_left", pa.bool_()), ("cut_right", pa.bool_()), ("text", pa.string())]))
+                start += len(piece) + (not right)
+        yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
+            ("chunk_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("cut_left", pa.bool_()), ("cut_right", pa.bool_()), ("text", pa.string())]))
 
 
 #: Characters that one step of vectorised work takes at once; its arrays hold several numbers for each.
@@ -243,14 +246,14 @@ def portions(batches, column: str = "text"):
             yield b.slice(begin)
 
 
-PIECES = "chunk_id long, piece int, cut_left boolean, cut_right boolean, text string"
+PIECES = "chunk_id long, piece int, start long, cut_left boolean, cut_right boolean, text string"
 
 
 def pieces(chunks: DataFrame) -> DataFrame:
     """Texts as pieces of at most PIECE characters; only longer texts go through the cutter and are spread."""
     rows = chunks.select("chunk_id", "text").where(F.col("text").isNotNull() & (F.trim("text") != ""))
     short = rows.where(F.length("text") <= PIECE).select(
-        "chunk_id", F.lit(0).alias("piece"), F.lit(False).alias("cut_left"), F.lit(False).alias("cut_right"), "text")
+        "chunk_id", F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"), F.lit(False).alias("cut_left"), F.lit(False).alias("cut_right"), "text")
     long = rows.where(F.length("text") > PIECE).mapInArrow(split_long, PIECES).repartition("chunk_id", "piece")
     return short.unionByName(long)
 

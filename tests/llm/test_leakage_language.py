@@ -146,18 +146,42 @@ def test_languages_and_stated_labels(spark, make_chunks):
     assert L.unstated(make_chunks([]), lg.limit(0)).count() == 0
 
 
-def test_automaton_parses_into_longest_matches():
-    a = L.Automaton(" banana  bandana ")
-    text = " banana  bandana "
-
-    def brute(s):
-        i = n = 0
-        while i < len(s):
-            j = i
-            while j < len(s) and s[i:j + 1] in text:
-                j += 1
-            n, i = n + 1, max(j, i + 1)
-        return n
-
-    for s in (" banana ", "nanaban", "xyz", "", "ana ban", "dabana"):
-        assert a.phrases(s) == brute(s)
+def least_phrases(s, texts):
+    """Least number of substrings of ``texts`` (or strange letters) that make up s."""
+    best = [0] + [len(s) + 1] * len(s)
+    for e in range(1, len(s) + 1):
+        best[e] = min(best[b] + 1 for b in range(e) if e - b == 1 or any(s[b:e] in t for t in texts))
+    return best[-1]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="abc ", max_size=25), max_size=4), st.lists(st.text(alphabet="abc ", max_size=25), max_size=4), st.lists(st.text(alphabet="abcd ", max_size=20), max_size=6))
+def test_parses_have_the_fewest_phrases(x, y, strings):
+    p = L.Parser(L.Automaton({"x": x, "y": y}, own=0))
+    got = p.phrases(strings)
+    assert got.tolist() == [[least_phrases(s, x), least_phrases(s, y)] for s in strings]
+
+
+def test_phrases_cross_words_and_segments_have_their_places():
+    p = L.Parser(L.Automaton({"en": [" the old man went to the river "], "de": [" der alte mann ging an den fluss "]}, own=0))
+    assert p.phrases([" old man went "]).tolist()[0][p.languages.index("en")] == 1
+    text = "The Old man went.  To the RIVER\n\n" + "so and on " * 40
+    placed = L.placed_segments(text)
+    assert [w for *_, w in placed] == L.segments(text)
+    assert all(L.WORD.findall(text[s:e].lower()) == w for s, e, w in placed)
+
+
+def test_rare_languages_are_learnt_and_false_labels_are_not():
+    rng = random.Random(8)
+
+    def fragment(x):
+        w = rng.choice(SAMPLES[x]).split()
+        i = rng.randrange(len(w) - 2)
+        return w[i:i + rng.randrange(2, 5)]
+
+    text = lambda x, n=6: ". ".join(" ".join(w for _ in range(4) for w in fragment(x)) for _ in range(n)) + "."
+    rows = [("en", text("en")) for _ in range(200)] + [("es", text("es")) for _ in range(40)] + [("ca", text("es")) for _ in range(20)] + [("de", text("de")) for _ in range(4)]
+    rows += [("es", text("en")) for _ in range(4)]
+    rng.shuffle(rows)
+    assert L.train(rows).languages == ["de", "en", "es"]
+    assert L.train([]).languages == ["en"]
