@@ -143,6 +143,10 @@ def p10_subjects(spark, d):
     return _p10(spark, d, subjects.about)
 
 
+def p10_calibration(spark, d):
+    return _p10(spark, d, subjects.calibration)
+
+
 def p10_composition(spark, d):
     return _p10(spark, d, subjects.composition)
 

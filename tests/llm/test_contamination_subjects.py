@@ -106,3 +106,23 @@ def test_subjects_on_held_out_documents(spark):
     wrong = sum(got.get(i, set()) != truth[i] for i in range(120, 300))
     assert wrong <= 9 and len(found) == len({(r.doc_id, r.subject) for r in found})
     assert S.about(docs.limit(0), subs, lab).count() == 0 and S.about(docs, subs, lab.limit(0)).count() == 0
+    told = S.calibration(docs, subs, lab).collect()
+    assert {r.subject for r in told} == {"law", "music"} and all(r.n_held_out > 5 and r.error < 0.2 and 1 <= r.em_passes <= S.ROUNDS for r in told)
+    sure = {r.doc_id: r.confidence for r in found if r.subject == "music"}
+    of = [sure[i] for i in sure if "music" in truth.get(i, ()) and i >= 120]
+    assert sum(of) / len(of) > 0.7
+
+
+def test_posteriors_are_independent_and_calibration_follows_the_labels():
+    import numpy as np
+    import pyarrow as pa
+
+    raw = next(S._tokens([pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["Court violin judge melody. Court judge here now.", None or "No sign at all. None here."]})]))
+    word = lambda w: int(S.pd.util.hash_array(np.array([w], dtype=object)).view(np.int64)[0])
+    p, _ = S.posteriors(S.Weights({word("court"): np.array([5.0, 0]), word("judge"): np.array([5.0, 0]), word("violin"): np.array([0, 5.0]), word("melody"): np.array([0, 5.0])}, 2), S.Batch(raw))
+    assert (p[0] > 0.9).all() and p[1, 0] > 0.9 and p[1, 1] == 0 and (p[2:] == 0).all()  # one sentence about both
+    counts = [(0, i, int(y), 10) for i in range(S.BINS) for y in (i >= 10,)] + [(1, 2, 0, 50)]
+    curves, table = S.calibrate(counts, 2)
+    q = S._posterior(curves, np.array([[0.1, 0.1], [0.6, 0.6]]))
+    assert q[0].max() < 0.2 and q[1].min() > 0.8 and table.sum() == 10 * S.BINS + 50
+    assert S.calibrate([], 1)[0].tolist() == [[16.0, -4.0]]
