@@ -41,6 +41,7 @@ ROUNDS, TOLERANCE = 6, 0.05  # most EM passes over all documents; mean change of
 LEAST_WEIGHT = 1.8     # weights below carry no sign of a subject
 FREQUENT = 3_000       # most frequent words that may speak against a subject
 AGAINST, CAP_AGAINST, AGAINST_COUNT = -1.0, 1.5, 20
+LEAST_DOCS, LEAST_PART = 2, 0.01  # labelled documents of a subject, and part of all of these, that a first sign stands in
 LEAST_COUNT = 4.0      # expected occurrences in a subject's sentences below which a word gets no weight
 CAP = 5.0              # most that one word can say
 PRIOR, STRENGTH = 0.01, 20.0  # share of a subject expected beforehand, and its weight in sentences
@@ -179,8 +180,13 @@ def _expected(bc):
 TEACHES = 0.05         # posteriors below are taken for none in the expected counts
 
 
-def _weights(counts: DataFrame, k: int, least: float, least_docs: int) -> Weights:
-    """Weights from counts (word, s, c, d): of words with ``least`` occurrences and ``least_docs`` documents in a subject, less what few of either prove."""
+def _weights(counts: DataFrame, k: int, docs: dict[int, int] | None = None) -> Weights:
+    """Weights from counts (word, s, c, d): log share in the subject, less what few occurrences or documents prove, over log share elsewhere.
+
+    With ``docs``, the labelled documents of each subject, a sign must stand in LEAST_DOCS and LEAST_PART of
+    them: a few wrong labels, as on documents in a language that labels seldom cover, must not make
+    that language's words signs. Else it must have LEAST_COUNT expected occurrences.
+    """
     counts = cut_lineage(counts.groupBy("word", "s").agg(F.sum("c").alias("c"), F.sum("d").alias("d")))
     sums = {r.s: r for r in counts.groupBy("s").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()}  # a row per subject
     if -1 not in sums or len(sums) < 2:
@@ -188,8 +194,13 @@ def _weights(counts: DataFrame, k: int, least: float, least_docs: int) -> Weight
     n, v = sums[-1].c, sums[-1].v
     size = F.create_map(*[x for s, r in sums.items() for x in (F.lit(s), F.lit(float(r.c)))])
     total = counts.where("s = -1").select("word", F.col("c").alias("c0"))
-    own = counts.where("s >= 0").where((F.col("c") >= least) & (F.col("d") >= least_docs))
-    low = F.col("c") * (1 - F.pow("d", F.lit(-0.5))) if least_docs else F.greatest(F.col("c") - F.sqrt("c"), F.lit(0.0))
+    own = counts.where("s >= 0")
+    if docs:
+        of = F.create_map(*[x for s, n_docs in docs.items() for x in (F.lit(s), F.lit(max(LEAST_DOCS, LEAST_PART * n_docs)))])
+        own = own.where(F.col("d") >= of[F.col("s")])
+    else:
+        own = own.where(F.col("c") >= LEAST_COUNT)
+    low = F.col("c") * (1 - F.pow("d", F.lit(-0.5))) if docs else F.greatest(F.col("c") - F.sqrt("c"), F.lit(0.0))
     cs = size[F.col("s")]
     x = F.log((low + 0.5) / (cs + 0.5 * v)) - F.log((F.greatest(F.col("c0") - F.col("c"), F.lit(0.0)) + 0.5) / (n - cs + 0.5 * v))
     signs = own.join(total, "word").select("word", "s", x.alias("x")).where(F.col("x") >= LEAST_WEIGHT)
@@ -282,11 +293,13 @@ def fit(toks: DataFrame, subjects: DataFrame, labels: DataFrame) -> Model:
     said = cut_lineage(said.groupBy("doc_id").agg(F.sort_array(F.collect_set("s")).alias("subs")))
     known = cut_lineage(toks.join(F.broadcast(said) if said.count() <= BROADCAST_LABELS else said, "doc_id"))
     held = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0
-    weights = _weights(known.where(~held).mapInArrow(_labelled(k), COUNTS), k, 1.0, 2)
+    train = known.where(~held)
+    n_docs = {r.s: r.n for r in train.select("doc_id", F.explode("subs").alias("s")).groupBy("s").agg(F.count_distinct("doc_id").alias("n")).collect()}
+    weights = _weights(train.mapInArrow(_labelled(k), COUNTS), k, n_docs) if n_docs else Weights({}, k)
     passes, change = 0, 0.0
     while len(weights.words) and passes < ROUNDS:
         bc = spark.sparkContext.broadcast(weights)
-        new = _weights(toks.mapInArrow(_expected(bc), COUNTS), k, LEAST_COUNT, 0)
+        new = _weights(toks.mapInArrow(_expected(bc), COUNTS), k)
         passes, change, weights = passes + 1, weights.change(new), new
         if change <= TOLERANCE:
             break
