@@ -83,25 +83,23 @@ def _attach(chunks: DataFrame, arrays: DataFrame, how: str) -> DataFrame:
     return salted.join(arrays, ["source_dataset", "salt"], how).drop("salt")
 
 
-def _hashed(text):
-    """Line number, line and hash of every line of a text."""
-    return F.transform(_lines(text), lambda l, i: F.struct((i + 1).cast("int").alias("line_no"), l.alias("line"), line_hash(l).alias("h")))
-
-
-def _hit(s, bp):
-    return F.array_contains(F.element_at(bp, (F.pmod(s["h"], F.lit(BUCKETS)) + 1).cast("int")), s["h"]) & _is_long(s["line"])
+def _hit(line, bp):
+    # an array of one, so that the hash is taken once for both of its uses
+    listed = F.exists(F.array(line_hash(line)), lambda h: F.array_contains(F.element_at(bp, (F.pmod(h, F.lit(BUCKETS)) + 1).cast("int")), h))
+    return listed & _is_long(line)
 
 
 def occurrences(chunks: DataFrame, arrays: DataFrame) -> DataFrame:
     """(chunk_id, source_dataset, hits): of each chunk with boilerplate its lines (line_no, h) in order; a redelivered chunk once."""
     rows = _attach(chunks.where(F.col("text").isNotNull()).select("chunk_id", "source_dataset", "text"), arrays, "inner")
-    hits = F.transform(F.filter(_hashed(F.col("text")), lambda s: _hit(s, F.col("bp"))), lambda s: F.struct(s["line_no"].alias("line_no"), s["h"].alias("h")))
+    hits = F.filter(F.transform(_lines(F.col("text")), lambda l, i: F.when(
+        _hit(l, F.col("bp")), F.struct((i + 1).cast("int").alias("line_no"), line_hash(l).alias("h")))), lambda s: s.isNotNull())
     return rows.select("chunk_id", "source_dataset", hits.alias("hits")).where(F.size("hits") > 0).distinct()
 
 
 def strip(chunks: DataFrame, arrays: DataFrame, column: str = "text") -> DataFrame:
     """``chunks`` with ``column`` freed of its source's boilerplate lines; other rows unchanged."""
-    kept = F.array_join(F.transform(F.filter(_hashed(F.col(column)), lambda s: ~_hit(s, F.col("bp"))), lambda s: s["line"]), "\n")
+    kept = F.array_join(F.filter(_lines(F.col(column)), lambda l: ~_hit(l, F.col("bp"))), "\n")
     # a text without any boilerplate keeps its bytes; array_join gives them back unchanged
     return _attach(chunks, arrays, "left").withColumn(column, F.when(F.col("bp").isNull(), F.col(column)).otherwise(kept)).drop("bp")
 

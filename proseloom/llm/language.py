@@ -218,17 +218,21 @@ class Parser:
         raw = np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         codes = self.code[np.where(raw < 0x10000, raw, 0)]
         start = np.cumsum(n) - n
-        step = np.maximum(self.matches(codes, start, n), 1).ravel()
-        count = np.zeros(len(n) * k, dtype=np.int32)
-        lane = np.flatnonzero(np.repeat(n > 0, k))
-        first = (start[lane // k] * k + lane % k)
-        spot = (start + n)[lane // k] * k + lane % k - k  # the last letter of each lane, in ``step``
-        while len(lane):
-            count[lane] += 1
-            spot = spot - step[spot].astype(np.int64) * k
-            go_on = spot >= first
-            lane, first, spot = lane[go_on], first[go_on], spot[go_on]
-        return count.reshape(len(n), k)
+        match = np.maximum(self.matches(codes, start, n), 1)
+        count = np.zeros((len(n), k), dtype=np.int32)
+        some = np.flatnonzero(n > 0).astype(np.int32)
+        begin, last = start[some].astype(np.int32), (start + n)[some].astype(np.int32) - 1
+        for x in range(k):  # from the end of all segments at once, a phrase a step
+            step = np.ascontiguousarray(match[:, x])
+            lane, first, at, taken = some, begin, last, 0
+            while len(lane):
+                taken += 1
+                at = at - step.take(at)
+                on = np.flatnonzero(at >= first)
+                if len(on) < len(lane):
+                    count[lane, x] = taken  # those that go on are counted again
+                    lane, first, at = lane.take(on), first.take(on), at.take(on)
+        return count
 
 
 def segments(text: str) -> list[list[str]]:
@@ -420,13 +424,12 @@ def _partial(bc, langs):
             owner = np.array(owner, dtype=np.int64)
             sizes, lang, sure = parse(parser, owner, flat)
             n, k = len(d["text"]), len(langs)
-            prose = list(map(quality.plainly_prose, d["text"]))
             words = np.zeros((n, k), dtype=np.int64)
             np.add.at(words, (owner, lang), sizes)
             weight = np.zeros((n, k))
             np.add.at(weight, (owner, lang), sizes * sure)
             yield pa.RecordBatch.from_arrays(
-                [b.column("chunk_id"), b.column("piece"), *quality.partial_arrays(d, prose),
+                [b.column("chunk_id"), b.column("piece"), *quality.partial_arrays(d, True),
                  pa.array(words.tolist(), pa.list_(pa.int64())), pa.array(weight.tolist(), pa.list_(pa.float64()))],
                 names=["chunk_id", "piece", "totals", "head", "tail", "through", "words", "weight"])
 

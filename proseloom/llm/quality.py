@@ -262,17 +262,15 @@ _F = pa.list_(pa.int64())
 PARTIAL = "chunk_id long, piece int, totals array<long>, head array<long>, tail array<long>, through boolean"
 
 
-_NO_COUNT = [0] * 9
-
-
-def partial_arrays(d: dict, prose=()) -> list:
-    """Columns totals, head, tail, through; texts flagged in ``prose`` are known to be prose, only their judged characters are counted."""
-    if len(prose):
-        got = [
-            ([*_NO_COUNT, len(t) + 1, 0], None, None, False) if p and not l and not r else Counts.of(t, l, r)
-            for t, l, r, p in zip(d["text"], d["cut_left"], d["cut_right"], prose)]
-    else:
-        got = [Counts.of(t, l, r) for t, l, r in zip(d["text"], d["cut_left"], d["cut_right"])]
+def partial_arrays(d: dict, verdict_only: bool = False) -> list:
+    """Columns totals, head, tail, through; with ``verdict_only`` an uncut text has its characters on the side of its verdict, and no other counts."""
+    def one(t, left, right):
+        if not verdict_only or left or right:
+            return Counts.of(t, left, right)
+        other = is_other(t)
+        return [0] * 8 + [(len(t) + 1) * other, (len(t) + 1) * (not other), 0], None, None, False
+
+    got = [one(t, l, r) for t, l, r in zip(d["text"], d["cut_left"], d["cut_right"])]
     return [pa.array([g[0] for g in got], _F), pa.array([g[1] for g in got], _F), pa.array([g[2] for g in got], _F), pa.array([g[3] for g in got], pa.bool_())]
 
 
