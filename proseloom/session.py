@@ -16,6 +16,7 @@ def get_spark(app: str = "proseloom", cores: str | int = "*", **conf) -> SparkSe
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")  # files go when no DataFrame needs them
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -41,17 +42,41 @@ def spread(df):
 def cut_lineage(df, eager: bool = True):
     """Materialise ``df`` in the shared checkpoint folder.
 
-    The folder comes from spark.checkpoint.dir; only where that is unset (tests,
-    notebooks) a local one is used.
+    The folder comes from spark.checkpoint.dir. Where that is unset, a session on one machine
+    (local mode: tests, notebooks) gets a folder of its own; a cluster must name a shared one.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(folder or "/tmp/proseloom-checkpoints")
+        if not folder:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            import atexit
+            import shutil
+            import tempfile
+
+            folder = tempfile.mkdtemp(prefix="proseloom-checkpoints-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.setCheckpointDir(folder)
     return df.checkpoint(eager)
 
 
+def join_slim(big, slim, on: str, by: str, broadcast: bool, how: str = "inner", salt: int = 16):
+    """``big`` joined with ``slim``, which has one row per ``on``, where one key may hold much of ``big``.
+
+    With ``broadcast`` (of a checked size) nothing is shuffled; else both sides are salted by the
+    hash of column ``by`` of ``big``, so that a hot key is ``salt`` tasks.
+    """
+    from pyspark.sql import functions as F
+
+    if broadcast:
+        return big.join(F.broadcast(slim), on, how)
+    spread_out = big.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salt)).cast("int"))
+    copies = slim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    return spread_out.join(copies, [on, "_salt"], how).drop("_salt")
+
+
 _shipped: dict[str, str] = {}
 
 
