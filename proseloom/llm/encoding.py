@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import os
+from itertools import groupby
 
 import duckdb
 import numpy as np
@@ -26,6 +27,8 @@ FOLDER = "/opt/tokenizers"
 NAME = "byte_bpe_50k"
 MAX_FILE_BYTES = 8_000_000
 LONG = 64            # bytes from which a pre-token is contracted in a loop over a table, all places of a pair at once
+ONCE = 150_000       # bytes of pre-tokens in one recursive query, whose steps all stay in memory
+TOKENS_ONCE = 1_000_000  # pre-tokens of the texts taken from a batch at a time
 CACHE = 300_000      # pre-tokens whose ids one worker remembers
 
 # The published pre-token pattern of this vocabulary, in Java's syntax.
@@ -61,7 +64,7 @@ class Encoder:
         merges = pa.table({  # noqa: F841 - DuckDB reads it by name
             "l": pa.array([vocab[a] for a, _ in pairs], pa.int32()), "r": pa.array([vocab[b] for _, b in pairs], pa.int32()),
             "rank": pa.array(range(len(pairs)), pa.int32()), "m": pa.array([vocab[a + b] for a, b in pairs], pa.int32())})
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "preserve_insertion_order": False})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "preserve_insertion_order": False, "temp_directory": ""})  # nothing is spilled to a local disk
         self.con.execute("CREATE TABLE merges AS SELECT * FROM merges")
         self.known: dict[str, np.ndarray] = {}
 
@@ -119,8 +122,10 @@ SELECT t.pos, coalesce(c.m, t.tok) AS tok FROM t LEFT JOIN c USING (pos) WHERE t
             self.known = {t: self.known[t] for t in tokens if t in self.known}
         raw = [t.encode() for t in new]
         short = [i for i, b in enumerate(raw) if len(b) < LONG]
-        if short:
-            for i, ids in zip(short, self._short([raw[i] for i in short])):
+        part = np.cumsum([len(raw[i]) for i in short]) // ONCE if short else []
+        for _, own in groupby(zip(part, short), key=lambda x: x[0]):
+            some = [i for _, i in own]
+            for i, ids in zip(some, self._short([raw[i] for i in some])):
                 self.known[new[i]] = ids
         for i, b in enumerate(raw):
             if len(b) >= LONG:
@@ -170,13 +175,23 @@ def encode_lists(enc: Encoder, tokens: pa.ListArray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends[off].astype(np.int32)), pa.array(table[at]))
 
 
+def _parts(batches):
+    """Batches cut into slices of about TOKENS_ONCE pre-tokens; single texts stay whole."""
+    for b in batches:
+        part = np.cumsum(np.asarray(b.column(1).value_lengths())) // TOKENS_ONCE
+        at = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), b.num_rows]
+        for i, j in zip(at, at[1:]):
+            if j > i:
+                yield b.slice(i, j - i)
+
+
 def encode(docs: DataFrame, folder: str = FOLDER, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids) of every row."""
     content = docs.sparkSession.sparkContext.broadcast(load(folder))
 
     def run(batches):
         enc = _encoder(content.value)
-        for b in batches:
+        for b in _parts(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), encode_lists(enc, b.column(1))], names=["doc_id", "ids"])
 
     tokens = F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(PATTERN), F.lit(0))

@@ -24,6 +24,15 @@ def p1_split_report(spark, d):
     return splits.report(_chunks(spark, d))
 
 
+def p1_group_sizes(spark, d):
+    return splits.group_sizes(_chunks(spark, d))
+
+
+def p1_labels(spark, d):
+    chunks = _chunks(spark, d)
+    return splits.labels(chunks, splits.group_splits(chunks))
+
+
 def p2_found(spark, d):
     return leakage.overlaps(_chunks(spark, d))
 
@@ -241,5 +250,23 @@ root AS (SELECT node, min(root) AS root FROM reach GROUP BY node),
 g AS (SELECT chunk_id, split, coalesce(root.root, a, s, 'c ' || chunk_id) AS gid FROM k LEFT JOIN root ON root.node = coalesce(a, s)),
 n AS (SELECT gid FROM g WHERE split IS NOT NULL GROUP BY gid HAVING count(DISTINCT split) >= 2)
 SELECT chunk_id FROM g JOIN n USING (gid) WHERE split IS NOT NULL
+""",
+    "p1_group_sizes": r"""
+WITH RECURSIVE r AS (
+  SELECT chunk_id, min(split) AS split,
+         array_to_string(list_sort(list_filter(regexp_split_to_array(lower(min(author_slug)), '[^\p{L}\p{N}]+'), lambda w: w <> '')), ' ') AS a,
+         array_to_string(list_sort(list_filter(regexp_split_to_array(lower(min(story_key)), '[^\p{L}\p{N}]+'), lambda w: w <> '')), ' ') AS s
+  FROM chunks GROUP BY chunk_id),
+k AS (SELECT chunk_id, split,
+             CASE WHEN a NOT IN ('', 'author unknown', 'anonymous', 'authors various') THEN 'a ' || a END AS a,
+             CASE WHEN s <> '' THEN 's ' || s END AS s FROM r),
+e AS (SELECT DISTINCT a AS u, s AS v FROM k WHERE a IS NOT NULL AND s IS NOT NULL),
+b AS (SELECT u, v FROM e UNION SELECT v, u FROM e),
+reach AS (SELECT DISTINCT u AS node, u AS root FROM b
+          UNION SELECT b.v, reach.root FROM reach JOIN b ON b.u = reach.node AND reach.root < b.v),
+root AS (SELECT node, min(root) AS root FROM reach GROUP BY node),
+g AS (SELECT chunk_id, split, coalesce(root.root, a, s, 'c ' || chunk_id) AS gid FROM k LEFT JOIN root ON root.node = coalesce(a, s)),
+n AS (SELECT gid, count(*) AS n_records FROM g GROUP BY gid)
+SELECT CAST(n_records AS BIGINT) AS n_records, count(*) AS n_groups, CAST(0 AS BIGINT) AS n_divided FROM n GROUP BY n_records
 """,
 }

@@ -63,3 +63,29 @@ def test_chain_and_empty(spark, make_chunks):
     assert len({r.group_id for r in splits.grouped(make_chunks(chain)).collect()}) == 1
     assert splits.group_splits(make_chunks([])).count() == 0
     assert splits.group_splits(make_chunks([{"chunk_id": None}, {"chunk_id": 1}])).count() == 2
+
+
+def test_labels_are_spread_and_hot_keys_are_salted(spark, make_chunks):
+    import pytest
+    from proseloom.session import join_slim
+
+    rows = [{"chunk_id": i, "author_slug": f"a{i // 3}", "story_key": f"k{i // 3}", "source_dataset": ("x", "y", None)[i // 3 % 3]} for i in range(3000)]
+    df = make_chunks(rows)
+    got = splits.report(df).collect()
+    assert all(r.label_deviation < 0.1 and r.largest_label_gap < 0.03 for r in got) and abs(sum(r.share for r in got) - 1) < 1e-9
+    assert all(r.n_divided == 0 for r in splits.group_sizes(df).collect())
+    edges = spark.createDataFrame([(1, 1000 + i) for i in range(200)] + [(2, 1199), (3000 + 1, 3002)], "u long, v long")
+    want = {(r.node, r.root) for r in splits.components(edges).collect()}
+    assert {(r.node, r.root) for r in splits.components(edges, broadcast_nodes=0).collect()} == want and len({r for _, r in want}) == 2
+    big, slim = spark.range(100).selectExpr("id", "id % 2 AS k"), spark.createDataFrame([(0, "x")], "k long, v string")
+    assert {tuple(r) for r in join_slim(big, slim, "k", "id", False, "left").select("id", "v").collect()} == {(i, None if i % 2 else "x") for i in range(100)}
+    with pytest.raises(RuntimeError):
+        splits.components(edges, max_rounds=1)
+
+
+def test_start_is_hashed():
+    import numpy as np
+
+    ids = np.arange(10_000, dtype=np.int64) * 7919
+    at = splits._hashed_start(ids, np.array([0.8, 0.1, 0.1]), 0)
+    assert abs((at == 0).mean() - 0.8) < 0.02 and (splits._hashed_start(ids[::-1].copy(), np.array([0.8, 0.1, 0.1]), 0)[::-1] == at).all()
