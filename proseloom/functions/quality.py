@@ -125,9 +125,20 @@ def english_ratio(c: Column, most: int = 500) -> Column:
     return _share(F.size(F.filter(w, lambda x: x.rlike(rf"^(?:{ENGLISH})(?:$|[^\p{{L}}\p{{N}}_])"))), F.size(w))
 
 
-def language(c: Column) -> Column:
-    """en, non_en or unknown: by script, else by the share of common English words."""
-    return F.when(other_script(c), "non_en").when(english_ratio(c) >= 0.04, "en").otherwise("unknown")
+def language(c: Column, detected: Column | None = None) -> Column:
+    """en, non_en or unknown: by script, else by a detector's code where there is one, else by the share of common English words."""
+    out = F.when(other_script(c), "non_en")
+    if detected is not None:
+        out = out.when(detected == "en", "en").when(detected.isNotNull(), "non_en")
+    return out.when(english_ratio(c) >= 0.04, "en").otherwise("unknown")
+
+
+def english_only(df: DataFrame, text: str, *keys: str, detected: Column | None = None) -> DataFrame:
+    """``keys`` and language, word_count, kept, reason of every row: kept are the English ones, others carry why they are skipped; texts are classified once."""
+    c = T.text_of(text)
+    rows = T.once(df.withColumn("_d", detected if detected is not None else F.lit(None).cast("string")), _class=language(c, F.col("_d")))
+    why = F.when(F.col("_class") == "non_en", "non_english").when(F.col("_class") == "unknown", "unknown_language")
+    return rows.select(*keys, F.when(F.col("_class") == "en", "en").otherwise(F.coalesce("_d", "_class")).alias("language"), T.word_count(c).alias("word_count"), why.isNull().alias("kept"), why.alias("reason"))
 
 
 # --- Fiction quality ---------------------------------------------------------------------

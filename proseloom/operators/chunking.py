@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import text as T
+from ..session import cut_lineage
 
 TARGET, OVERLAP, MIN_WORDS = 500, 2, 30
 
@@ -60,32 +61,78 @@ def fixed_chunks(df: DataFrame, id_col: str, text_col: str, size: int = 500, ove
     return rows.select(id_col, F.posexplode(T.fixed_chunks(T.text_of(text_col), size, overlap)).alias("chunk_index", "chunk"))
 
 
+def chunk_records(df: DataFrame, id_col: str, text_col: str, source: str, *carried: str, target: int = TARGET, overlap: int = OVERLAP) -> DataFrame:
+    """(id, text, metadata): records as chunks that carry their metadata; a record of one chunk keeps its text.
+
+    metadata is a struct of source ("unknown" where null), chunk_index, total_chunks, chunk_size,
+    chunk_overlap_sentences, chunk_boundary, word_count and the ``carried`` columns. Null and blank texts give no row.
+    """
+    own = df.select(F.col(id_col).alias("_id"), F.coalesce(source, F.lit("unknown")).alias("_source"), F.struct(*[F.col(c).alias(c) for c in carried]).alias("_m") if carried else F.lit(None).alias("_m"))
+    cut = sentence_chunks(df, id_col, text_col, target, overlap, 0)
+    meta = F.struct(
+        F.col("_source").alias("source"), "chunk_index", "total_chunks", F.lit(target).alias("chunk_size"), F.lit(overlap).alias("chunk_overlap_sentences"),
+        F.lit("sentence").alias("chunk_boundary"), "word_count", *[F.col(f"_m.{c}").alias(c) for c in carried])
+    return cut.join(own, cut[id_col] == own["_id"]).select(F.col("_id").alias(id_col), F.col("chunk").alias("text"), meta.alias("metadata"))
+
+
+def book_chunks(books: DataFrame, key: str, number: str, target: int = TARGET, overlap: int = OVERLAP) -> DataFrame:
+    """(key, story_key, chunk_index, total_chunks, text, title, author, title_slug): chunks of the books (title, author, text) of an archive; story_key is title_slug:number."""
+    ids = books.select(F.struct(key, number).alias("_b"), "title", "author", "text")
+    cut = sentence_chunks(ids.select("_b", "text"), "_b", "text", target, overlap, 0)
+    slug = T.slug(F.col("title"), cut=80)
+    return cut.join(ids.drop("text"), "_b").select(
+        F.col(f"_b.{key}").alias(key), F.concat_ws(":", slug, F.col(f"_b.{number}").cast("string")).alias("story_key"), "chunk_index", "total_chunks", F.col("chunk").alias("text"), "title", "author", slug.alias("title_slug"))
+
+
 def byte_segments(df: DataFrame, group: str, order: str, size: str, max_bytes: int) -> DataFrame:
     """Adds ``segment``: a new one starts where the bytes of the current one and the row would exceed ``max_bytes``.
 
-    The cut is sequential within a group by nature; rows stream through sorted, a task keeps
-    two numbers, and only keys and sizes should be given, not texts. A row larger than the
-    bound is a segment of its own. Null sizes count as 0.
+    A row larger than the bound is a segment of its own. Null sizes count as 0. Where a segment
+    begins hangs on all rows before it, yet the group need not be one task: rows are ranged
+    over tasks, every task runs on from what the one before it left, and the tasks run again
+    until what they leave no longer changes. A task's cuts soon fall into step whatever it began with, so this takes few rounds;
+    only keys and sizes should be given, not texts.
     """
-    fields = df.select(group, order, size)
-    gk, ok = dict(fields.dtypes)[group], dict(fields.dtypes)[order]
-
-    def run(batches):
-        now, at, seg = object(), 0, -1
-        for b in batches:
-            out = []
-            for g, n in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
-                n = n or 0
-                if g != now:
-                    now, at, seg = g, 0, 0
-                elif at > 0 and at + n > max_bytes:
-                    at, seg = 0, seg + 1
-                at += n
-                out.append(seg)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(out, pa.int32())], names=[group, order, size, "segment"])
-
-    spread = fields.withColumn(size, F.col(size).cast("long")).repartition(group).sortWithinPartitions(group, order)
-    return spread.mapInArrow(run, f"{group} {gk}, {order} {ok}, {size} long, segment int")
+    fields = df.select(F.col(group).alias("g"), F.col(order).alias("o"), F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("n"))
+    gk, ok = dict(df.dtypes)[group], dict(df.dtypes)[order]
+    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = cut_lineage(fields.repartitionByRange(parts, "g", "o").sortWithinPartitions("g", "o").select("*", F.spark_partition_id().alias("p")))
+
+    def walk(entries, emit):
+        def run(batches):
+            state = part = None
+            for b in batches:
+                out = []
+                ps = b.column(3).to_pylist()
+                if ps and part is None:
+                    part = ps[0]
+                    state = entries.get(part)
+                for g, n in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
+                    if state is None or g != state[0]:
+                        state = (g, n, 0)
+                    elif state[1] > 0 and state[1] + n > max_bytes:
+                        state = (g, n, state[2] + 1)
+                    else:
+                        state = (g, state[1] + n, state[2])
+                    out.append(state[2])
+                if emit:
+                    yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(out, pa.int32())], names=["g", "o", "n", "segment"])
+            if not emit and part is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([state[0]], schema_g), pa.array([state[1]], pa.int64()), pa.array([state[2]], pa.int32())], names=["p", "g", "held", "segment"])
+        return run
+
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    schema_g = to_arrow_type(df.schema[group].dataType)
+    entries: dict[int, tuple] = {}
+    while True:  # a row for each task
+        left = {r.p: (r.g, r.held, r.segment) for r in rows.mapInArrow(walk(entries, False), f"p int, g {gk}, held long, segment int").collect()}
+        filled = sorted(left)
+        found = {b: left[a] for a, b in zip(filled, filled[1:])}
+        if found == entries:
+            break
+        entries = found
+    return rows.mapInArrow(walk(entries, True), f"g {gk}, o {ok}, n long, segment int").toDF(group, order, size, "segment")
 
 
 _HEADING = re.compile(r"^(#{1,4})\s+(.+)$")

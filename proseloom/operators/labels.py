@@ -11,9 +11,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 FAST = ["lexical_complexity", "register", "figurative_density", "sentence_complexity", "pov", "cohesion", "segmentation", "prose_rhythm", "end_focus", "subordination_salience", "textual_relations", "climax"]
 DEEP = ["tone", "narrative_distance", "mind_style", "free_indirect_discourse"]
 # Titles that are no first names.
-TITLES = ("admiral brother captain chief col colonel commander consul councillor count countess doctor dr duchess duke elder emperor empress ensign father gen general governor judge king lady "
-          "lieutenant lord lt madam madame major marshal master miss mr mrs ms mother officer president prince princess prof professor queen regent reverend rev senator sergeant sgt sheriff sir "
-          "sister specialist sultan").split()
+TITLES = (
+    "admiral", "brother", "captain", "chief", "col", "colonel", "commander", "consul", "councillor", "count", "countess", "doctor", "dr", "duchess", "duke",
+    "elder", "emperor", "empress", "ensign", "father", "gen", "general", "governor", "judge", "king", "lady", "lieutenant", "lord", "lt", "madam", "madame",
+    "major", "marshal", "master", "miss", "mr", "mrs", "ms", "mother", "officer", "president", "prince", "princess", "prof", "professor", "queen", "regent",
+    "reverend", "rev", "senator", "sergeant", "sgt", "sheriff", "sir", "sister", "specialist", "sultan", "vizier", "warden",
+)
+# Weights of the first letters of new names.
+FIRST_LETTERS = {
+    "A": 9.0, "B": 8.0, "C": 8.0, "D": 7.0, "E": 1.0, "F": 7.0, "G": 7.0, "H": 7.0, "I": 6.0, "J": 8.0, "K": 7.0, "L": 7.0, "M": 8.0,
+    "N": 7.0, "O": 6.0, "P": 7.0, "Q": 2.0, "R": 8.0, "S": 9.0, "T": 8.0, "U": 5.0, "V": 5.0, "W": 7.0, "X": 2.0, "Y": 5.0, "Z": 2.0,
+}
 
 
 class Scorer(Protocol):
@@ -39,21 +47,33 @@ def default_scorer(dimensions: list[dict], fields: list[str] | None = None):
 
 
 def annotate(df: DataFrame, key: str, text: str, scorer: Scorer, defaults: dict[str, str], max_words: int = 1_200) -> DataFrame:
-    """(key, labels): the scorer's allowed labels over the defaults; a batch that fails keeps the defaults. Null texts are not sent."""
+    """(key, labels, error): the scorer's allowed labels over the defaults.
+
+    A batch that fails is scored again text by text; a text that fails keeps the defaults and
+    carries the error. Null texts are not sent.
+    """
     kind = dict(df.dtypes)[key]
     pairs = pa.map_(pa.string(), pa.string())
 
+    def alone(t):
+        try:
+            return scorer([t])[0], None
+        except Exception as e:  # noqa: BLE001 - an external model may fail in any way
+            return {}, f"{type(e).__name__}: {e}"
+
     def run(batches):
         for b in batches:
             texts = [" ".join(t.split()[:max_words]) for t in b.column(1).to_pylist()]
             try:
-                got = scorer(texts)
-            except Exception:  # noqa: BLE001 - an external model may fail in any way
-                got = [{} for _ in texts]
-            rows = [list((defaults | {k: v for k, v in g.items() if k in defaults}).items()) for g in got]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pairs)], names=["key", "labels"])
+                got = [(g, None) for g in scorer(texts)]
+                if len(got) != len(texts):
+                    raise ValueError("a label map is missing")
+            except Exception:  # noqa: BLE001
+                got = list(map(alone, texts))
+            rows = [list((defaults | {k: v for k, v in g.items() if k in defaults}).items()) for g, _ in got]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pairs), pa.array([e for _, e in got], pa.string())], names=["key", "labels", "error"])
 
-    return df.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), text).mapInArrow(run, f"key {kind}, labels map<string,string>").withColumnRenamed("key", key)
+    return df.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), text).mapInArrow(run, f"key {kind}, labels map<string,string>, error string").withColumnRenamed("key", key)
 
 
 def _squeezed(c: Column) -> Column:
@@ -63,7 +83,7 @@ def _squeezed(c: Column) -> Column:
 def first_name(c: Column) -> Column:
     """First word that is no title, in lower case; the last word of a name of titles only."""
     parts = F.split(F.lower(_squeezed(c)), " ")
-    named = F.filter(parts, lambda p: ~F.regexp_replace(p, r"[^\w]", "").isin(TITLES))
+    named = F.filter(parts, lambda p: ~F.regexp_replace(p, r"[^\w]", "").isin(*TITLES))
     return F.coalesce(F.try_element_at(named, F.lit(1)), F.element_at(parts, -1))
 
 

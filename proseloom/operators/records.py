@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions import text as T
+from ..functions import cleaning as C, text as T
 
 
 def record_key(source: Column, index: Column, text: Column) -> Column:
@@ -53,13 +53,73 @@ def merge_profiles(computed: Column, prior: Column, fresh: Column) -> Column:
     return merged
 
 
+def normalized(df: DataFrame, text: str, out: str, reflow: bool = True) -> DataFrame:
+    """Adds ``out``: whitespace, reflow, front matter, section titles, dedications, licences and quotes of a text, in that order."""
+    t = T.normalize_whitespace(T.text_of(text))
+    rows = df.withColumn("_raw", T.reflow(t) if reflow else t)
+    return T.once(rows, _clean=C.clean(F.col("_raw"))).withColumn(out, T.normalize_quotes(F.col("_clean.text"))).drop("_raw", "_clean")
+
+
+def enriched(df: DataFrame, text: str, profile: Column, min_words: int = 30) -> DataFrame:
+    """Sets the normalised text and adds word_count and style_profile (a map); below ``min_words``, or where the profile is null, a row stays as it is, with nulls."""
+    rows = normalized(df, text, "_t").withColumn("_n", T.word_count(F.col("_t"))).withColumn("_p", profile)
+    fits = (F.col("_n") >= min_words) & F.col("_p").isNotNull()
+    return rows.withColumns({text: F.when(fits, F.col("_t")).otherwise(F.col(text)), "word_count": F.when(fits, F.col("_n")), "style_profile": F.when(fits, F.col("_p"))}).drop("_t", "_n", "_p")
+
+
+def pass_profile(computed: Column, prior: Column, fresh: Column | None = None, mode: str = "full", fast: tuple[str, ...] = ()) -> Column:
+    """The profile map of a labelling pass from computed metrics, an earlier profile and fresh labels (null: no scorer).
+
+    Without fresh labels the earlier profile fills what is missing and settles the ``fast`` labels.
+    With them: full and fast let fresh labels win; deep keeps earlier values that were not
+    computed, and its ``fast`` labels; both lets all earlier values pass, labels what is missing, and keeps the earlier ``fast`` labels.
+    """
+    empty = F.create_map().cast("map<string,string>")
+    base, old, new = (F.coalesce(m, empty) for m in (computed, prior, empty if fresh is None else fresh))
+    over = lambda a, b: F.map_concat(F.map_filter(a, lambda k, v: ~F.map_contains_key(b, k)), b)
+    held = F.map_filter(old, lambda k, v: k.isin(*fast)) if fast else empty
+    if fresh is None:
+        return over(over(old, base), held)
+    if mode == "both":
+        return over(over(over(base, F.map_filter(old, lambda k, v: v.isNotNull())), new), F.map_filter(held, lambda k, v: v.isNotNull()))
+    return over(over(over(old, base), new), held) if mode == "deep" else over(base, new)
+
+
+def lookup(key: Column, table: dict[str, str], default: str | None = None) -> Column:
+    """A small fixed table's value of ``key``, as a literal map; the default where it is missing."""
+    if not table:
+        return F.lit(default).cast("string")
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), key), F.lit(default).cast("string"))
+
+
+# Names of styled corpus files, and parts that no such name holds.
+STYLED_FILES = (r"(?i)^[a-z0-9_]+_styled(?:_seg_\d{3})?\.jsonl$", r"(?i)^[a-z0-9_]+_deep_seg_\d{3}\.jsonl$")
+FORBIDDEN_PARTS = ("pipeline_chunks", "temp", "combined", "deduped", "reflowed", "clean", "flagged")
+
+
+def file_allowed(name: Column) -> Column:
+    """Whether a file may stand in a styled corpus, by its name."""
+    bad = F.exists(F.array(*map(F.lit, FORBIDDEN_PARTS)), lambda x: F.contains(name, x))
+    return F.coalesce(name.endswith(".jsonl") & ~bad & (name.rlike(STYLED_FILES[0]) | name.rlike(STYLED_FILES[1])), F.lit(False))
+
+
+def validated(lines: DataFrame, file: str, line: str, required: list[str]) -> DataFrame:
+    """(file, allowed, n_rows, n_invalid, n_without_profile, n_incomplete) of JSON lines; blank lines do not count."""
+    rows = lines.where(F.trim(F.coalesce(line, F.lit(""))) != "")
+    broken = F.try_parse_json(F.col(line)).isNull()
+    profile = F.from_json(F.get_json_object(line, "$.metadata.style_profile"), "map<string,string>")
+    some = F.coalesce(F.size(profile), F.lit(0)) > 0
+    return rows.groupBy(F.col(file).alias("file")).agg(
+        F.count("*").alias("n_rows"), F.count_if(broken).alias("n_invalid"), F.count_if(~broken & ~some).alias("n_without_profile"),
+        F.count_if(~broken & some & ~complete(profile, required)).alias("n_incomplete")).select("file", file_allowed(F.col("file")).alias("allowed"), "n_rows", "n_invalid", "n_without_profile", "n_incomplete")
+
+
 def unified(df: DataFrame, text: str, source: str, dataset: str, min_words: int = 30, **fields: str) -> DataFrame:
-    """(text, metadata): normalised text with a nested metadata struct; rows below ``min_words`` are left out.
+    """(text, metadata): text through the whole normalising chain with a nested metadata struct; rows below ``min_words`` are left out.
 
     Optional fields are null where missing and so left out when written as JSON.
     """
-    clean = T.normalize_quotes(T.reflow(T.normalize_whitespace(T.text_of(text))))
-    base = df.withColumn("_t", clean).withColumn("_n", T.word_count(F.col("_t"))).where(F.col("_n") >= min_words)
+    base = normalized(df, text, "_t").withColumn("_n", T.word_count(F.col("_t"))).where(F.col("_n") >= min_words)
     extra = [F.nullif(F.col(c).cast("string"), F.lit("")).alias(k) if dict(df.dtypes)[c] == "string" else F.col(c).alias(k) for k, c in fields.items()]
     return base.select(F.col("_t").alias("text"), F.struct(F.col(source).alias("source"), F.col(dataset).alias("source_dataset"), F.col("_n").alias("word_count"), *extra).alias("metadata"))
 
@@ -67,7 +127,7 @@ def unified(df: DataFrame, text: str, source: str, dataset: str, min_words: int
 def pick_text(df: DataFrame, preferred: str | None = None) -> Column:
     """The text of a row: the preferred column, else the first candidate that is not blank, else the first text of 20 words."""
     # Names that may hold the text, in order.
-    names = ("text content passage body story chapter paragraph document description blurb prompt completion").split()
+    names = ("text", "content", "passage", "body", "story", "chapter", "paragraph", "document", "description", "blurb", "prompt", "completion")
     strings = [c for c, t in df.dtypes if t == "string"]
     if preferred in strings:
         return F.col(preferred)

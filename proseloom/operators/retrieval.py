@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from ..functions.text import once
-
-MAX_KNOWLEDGE = 50_000
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 # Keywords of the knowledge categories.
 CATEGORIES = {
@@ -32,38 +28,51 @@ def categories(title: Column, body: Column, chars: int = 800) -> Column:
     return F.when(F.size(hits) > 0, hits).otherwise(F.array(F.lit("general")))
 
 
+CATEGORY_BONUS = 5
+# Words of which one marks a section as dealing with style.
+STYLE_WORDS = ("style", "lexic", "gramm", "syntax", "rhetoric", "figur", "narrat", "viewpoint", "voice", "register", "cohes", "diction", "sentence", "prose", "metaphor", "irony", "point of view")
+
+
+def style_relevant(title: Column, content: Column) -> Column:
+    """Whether a style word stands in a section's title or the first 300 characters of its content."""
+    both = F.lower(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.substring(F.coalesce(content, F.lit("")), 1, 300)))
+    return F.exists(F.array(*map(F.lit, STYLE_WORDS)), lambda w: F.contains(both, w))
+
+
+def category_counts(df: DataFrame, categories_col: str) -> DataFrame:
+    """(category, n) over rows with lists of categories."""
+    return df.select(F.explode(categories_col).alias("category")).groupBy("category").agg(F.count("*").alias("n"))
+
+
+def knowledge_records(sections: DataFrame, key: str, title: str, body: str, least: int = 120) -> DataFrame:
+    """(key, title, body, categories, n_diagrams): sections of at least ``least`` characters as knowledge; diagrams are mermaid blocks."""
+    rows = sections.where(F.length(F.coalesce(body, F.lit(""))) >= least)
+    return rows.select(key, title, body, categories(F.col(title), F.col(body)).alias("categories"), F.regexp_count(body, F.lit("```mermaid")).alias("n_diagrams"))
+
+
+def distilled(sections: DataFrame, items: DataFrame, title: str, body: str) -> DataFrame:
+    """One row of counts of a distilled manuscript: sections, those about style, knowledge records, checklist items and their groups."""
+    s = sections.agg(F.count("*").alias("n_sections"), F.count_if(style_relevant(F.col(title), F.col(body))).alias("n_style"), F.count_if(F.length(body) >= 120).alias("n_knowledge"))
+    i = items.agg(F.count("*").alias("n_items"), F.count_distinct("group").alias("n_groups"))
+    return s.crossJoin(i)  # one row each
+
+
 def top_k(queries: DataFrame, query_id: str, query: str, knowledge: DataFrame, item_id: str, title: str, text: str, k: int = 3, use_categories: bool = True) -> DataFrame:
-    """(query_id, item_id, score, rank): the k best items of every query, ties by item id; zero scores fall away after the cut.
+    """(query_id, item_id, score, rank): the k best items of every query, ties by item id; items without a score are none.
 
-    The knowledge is a small stated set: checked against MAX_KNOWLEDGE, inverted into one row
-    (token -> item numbers) and broadcast, so that queries are scored where they lie, without
-    a shuffle. An item's score is how often its number turns up: once for every shared token,
-    and five times for a shared category.
+    Queries and items meet on their tokens, an equi-join that needs no copy of the knowledge; an
+    item scores one for every shared token and CATEGORY_BONUS for a shared category. Scores are summed before
+    they are ranked, and the ranking's limit is applied before its shuffle. Null query ids stay apart.
     """
-    if knowledge.limit(MAX_KNOWLEDGE + 1).count() > MAX_KNOWLEDGE:
-        raise ValueError("the knowledge is too large to broadcast")
-    items = knowledge.select(F.struct(
-        F.col(item_id).alias("id"), tokens(F.concat_ws(" ", title, text)).alias("tok"), categories(F.col(title), F.col(text)).alias("cat")).alias("s"))
-    numbered = items.agg(F.sort_array(F.collect_list("s")).alias("a")).select(F.posexplode("a").alias("n", "s"))
-
-    def inverted(part: str, name: str) -> DataFrame:
-        per = numbered.select(F.explode(f"s.{part}").alias("t"), "n").groupBy("t").agg(F.sort_array(F.collect_list("n")).alias("ns"))
-        return per.agg(F.map_from_entries(F.collect_list(F.struct("t", "ns"))).alias(name))
-
-    ids = numbered.agg(F.transform(F.sort_array(F.collect_list(F.struct("n", F.col("s.id").alias("id")))), lambda x: x["id"]).alias("_ids"))
-    one = ids.join(inverted("tok", "_tok")).join(inverted("cat", "_cat"))
-    q = queries.select(query_id, tokens(F.col(query)).alias("_q"), categories(F.lit(""), F.col(query)).alias("_qc")).join(F.broadcast(one))
-    none = F.array().cast("array<int>")
-    found = lambda keys, index: F.flatten(F.transform(keys, lambda t: F.coalesce(F.try_element_at(F.col(index), t), none)))
-    hits = found(F.col("_q"), "_tok")
+    q = queries.select(F.col(query_id).alias("q"), tokens(F.col(query)).alias("tok"), categories(F.lit(""), F.col(query)).alias("cat"))
+    i = knowledge.select(F.col(item_id).alias("i"), tokens(F.concat_ws(" ", title, text)).alias("tok"), categories(F.col(title), F.col(text)).alias("cat"))
+    met = q.select("q", F.explode("tok").alias("t")).join(i.select("i", F.explode("tok").alias("t")), "t").select("q", "i", F.lit(1).alias("s"))
     if use_categories:
-        shared = F.array_distinct(found(F.filter("_qc", lambda c: c != "general"), "_cat"))
-        hits = F.concat(hits, *[shared] * 5)
-    q = once(q, _h=hits)
-    score = lambda n: F.size("_h") - F.size(F.array_remove("_h", n))
-    ranked = F.slice(F.array_sort(F.transform(F.array_distinct("_h"), lambda n: F.struct((-score(n)).alias("neg"), n.alias("n")))), 1, k)
-    return q.select(query_id, "_ids", F.posexplode(ranked).alias("_pos", "_r")).select(
-        query_id, F.element_at("_ids", F.col("_r.n") + 1).alias(item_id), (-F.col("_r.neg")).alias("score"), (F.col("_pos") + 1).alias("rank"))
+        of = lambda df, name: df.select(name, F.explode(F.array_remove("cat", "general")).alias("t"))
+        met = met.unionByName(of(q, "q").join(of(i, "i"), "t").select("q", "i").distinct().withColumn("s", F.lit(CATEGORY_BONUS)))
+    scored = met.groupBy("q", "i").agg(F.sum("s").cast("int").alias("score"))
+    rank = F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "i"))
+    return scored.withColumn("rank", rank).where(F.col("rank") <= k).select(F.col("q").alias(query_id), F.col("i").alias(item_id), "score", "rank")
 
 
 def context(ranked: DataFrame, query_id: str, body: str, rank: str, max_chars: int = 4_000, least: int = 200) -> DataFrame:

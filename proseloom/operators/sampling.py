@@ -27,9 +27,33 @@ def split_by_fraction(df: DataFrame, key: str, fraction: float, seed: int = 42,
     total = sizes.agg(F.floor(F.sum("_c") * F.lit(fraction)).alias("_k"))
     plan = F.broadcast(run.join(total))  # at most 4096 rows
     both = h.join(plan, "_b")
-    rank = F.row_number().over(W.partitionBy("_b", F.col("_before") + F.col("_c") <= F.col("_k"), F.col("_before") >= F.col("_k")).orderBy("_h", key))
-    part = F.when(F.col("_before") + F.col("_c") <= F.col("_k"), "validation").when(F.col("_before") >= F.col("_k"), "train").when(F.col("_before") + rank <= F.col("_k"), "validation").otherwise("train")
-    return both.withColumn(out, part).drop("_h", "_b", "_c", "_before", "_k")
+    inside, beyond = F.col("_before") + F.col("_c") <= F.col("_k"), F.col("_before") >= F.col("_k")
+    rank = F.row_number().over(W.partitionBy("_b").orderBy("_h", key))
+    border = both.where(~inside & ~beyond).withColumn(out, F.when(F.col("_before") + rank <= F.col("_k"), "validation").otherwise("train"))
+    rest = both.where(inside | beyond).withColumn(out, F.when(inside, "validation").otherwise("train"))
+    return rest.unionByName(border).drop("_h", "_b", "_c", "_before", "_k")
+
+
+def sample_by_rate(df: DataFrame, key: str, rate: float, seed: int = 42) -> DataFrame:
+    """floor(rows * rate) rows without replacement, by hash."""
+    return split_by_fraction(df, key, rate, seed, "_part").where("_part = 'validation'").drop("_part")
+
+
+def first_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The first n rows in input order, which the table must carry."""
+    return df.orderBy(*order).limit(n)
+
+
+def choose_weighted(seed: int | str, weights: dict[str, float], *keys: Column) -> Column:
+    """One option, picked by the row's hash in proportion to its weight; options without weight are never picked, null if none is left."""
+    live = [(o, w) for o, w in weights.items() if w > 0]
+    total = sum(w for _, w in live)
+    u = F.conv(F.substring(hash_of(seed, *keys), 1, 8), 16, 10).cast("long") / F.lit(float(16**8)) * total
+    out, upto = F.lit(None).cast("string"), total
+    for o, w in reversed(live):
+        upto -= w
+        out = F.coalesce(out, F.when(u >= upto, o))
+    return F.coalesce(out, F.lit(live[0][0])) if live else out
 
 
 def choose(seed: int | str, options: Column, *keys: Column) -> Column:

@@ -80,15 +80,25 @@ def test_dedication_and_licence():
     assert C.licence("This novel is a work of fiction. All is invented. chapter one " + STORY)[0].startswith("chapter one")
     assert C.licence("This novel is a work of fiction. All is invented.") == ("", "fiction_disclaimer_only")
     assert C.licence(STORY + "Creative Commons Legal Code blah http://creativecommons.org/. After.")[0].endswith("After.")
+    repeat = "this chapter is dedicated to a shop. " + " ".join(f"w{i}" for i in range(70)) + ". "
+    assert C._after_repeat(repeat + repeat + STORY * 9).startswith("w5") or C._after_repeat(repeat + repeat + STORY * 9) != repeat + repeat + STORY * 9
+    assert C.dedication("this chapter is dedicated to a bookstore with many books, all of them for sale at a very good price. My name is Marcus Yallow and " + STORY * 3)[0].startswith("My name is")
+    two = "x Creative Commons: Creative Commons Legal Code a http://creativecommons.org/. y Attribution-NonCommercial-ShareAlike 3.0 Unported b"
+    assert C.licence(STORY + two) == ((STORY + "x y").strip(), "cc_legal_code")
     assert C.licence(STORY + "=== Acknowledgements === thanks")[1] == "back_matter_section" and C.licence("a  b")[0] == "a b"
 
 
 def test_archives_and_plays(spark):
     one = "Title: First\nAuthor: Ann\n*** START OF THIS PROJECT GUTENBERG EBOOK FIRST ***\nProduced by X\n\n[Illustration: y]\n\n" + STORY + "\n*** END OF THIS PROJECT GUTENBERG EBOOK FIRST ***\n"
     two = "*** START OF THE PROJECT GUTENBERG EBOOK SECOND TALE ***\n" + STORY
-    got = C.books(one + two)
-    assert [(t, a) for t, a, _ in got][0] == ("First", "Ann") and len(got) == 2 and all(x == STORY.strip() for _, _, x in got)
-    assert C.books(STORY)[0][0] == "Unknown"
+    far = "x" * 5_000 + "\n"  # the lines around the second mark do not reach the first book's title
+    files = spark.createDataFrame([(1, one + two), (2, STORY), (3, None), (4, one + far + two), (5, "*** START OF THE PROJECT GUTENBERG EBOOK O'NEIL'S TALE ***\n")], "id int, text string").selectExpr("*", "'x' AS title")
+    got = {}
+    for r in C.split_archives(files, "id", "text").orderBy("id", "book_no").collect():
+        got.setdefault(r.id, []).append((r.book_no, r.title, r.author, r.text))
+    assert got[1] == [(0, "First", "Ann", STORY.strip()), (1, "First", "Ann", STORY.strip())] and got[2] == [(0, "Unknown", None, STORY.strip())] and got[3][0][3] == ""
+    assert got[4][1][:3] == (1, "Second Tale", None) and 5 not in got
+    assert C.split_archives(files.limit(0), "id", "text").count() == 0
     df = spark.createDataFrame([("A Play", "DRAMATIS PERSONAE\nACT I\nSCENE I\n"), ("The Tragedy of X", ""), ("A romance: A Play", ""), (None, None)], "title string, text string")
     assert [r.x for r in df.select(M.play(F.col("title"), F.col("text")).alias("x")).collect()] == ["body", "title", None, None]
 

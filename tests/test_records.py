@@ -131,14 +131,27 @@ def test_names_labels_and_manuscripts(spark):
     def broken(texts):
         raise RuntimeError
 
-    assert L.annotate(df, "i", "n", broken, {"tone": "x"}).where("i = 1").first().labels == {"tone": "x"}
+    one = L.annotate(df, "i", "n", broken, {"tone": "x"}).where("i = 1").first()
+    assert one.labels == {"tone": "x"} and one.error.startswith("RuntimeError")
+
+    def picky(texts):
+        if any("Sue" in t for t in texts):
+            raise ValueError("no")
+        return [{"tone": "y"} for _ in texts]
+
+    assert {r.i: (r.labels["tone"], r.error) for r in L.annotate(df, "i", "n", picky, {"tone": "x"}).collect()} == {1: ("y", None), 2: ("y", None), 3: ("y", None), 5: ("x", "ValueError: no"), 6: ("y", None)}
+    assert [r.x for r in spark.createDataFrame([("Warden Jane Poe",), ("the Vizier Abu",)], "n string").select(L.first_name(F.col("n")).alias("x")).collect()] == ["jane", "the"]
     body = "Plain words of the body that go on for a while. " * 6
     text = "Title\n<PAGE>\nHeader\nPART ONE\n" + body + "\n12\n<PAGE>\nHeader\nCHAPTER 2\n" + body + "\n<PAGE>\nHeader\n3.1 A checklist of things\nA: Lexical\n5 NOUN PHRASES. Are they simple or complex in this text?\n[see pp. 3]\nWhat do the adjectives do in the passage?\n" + body
-    got = P.sections(text)
-    assert [(s[0], s[1], s[2], s[3], s[4]) for s in got] == [("Part One", 2, "ONE", None, None), ("Chapter 2", 3, "ONE", 2, None), ("3.1 A checklist of things", 4, "ONE", 2, "3.1")]
-    assert "Header" not in got[1][5] and "12" not in got[0][5]
-    items = P.checklist(got[2][5])
-    assert items[0][1:4] == ("a", "Noun phrases", 5) and items[0][4].startswith("Are they")
+    books = spark.createDataFrame([(1, text), (2, None), (3, ""), (4, body)], "i int, t string").selectExpr("*", "1 AS page", "'x' AS line")
+    got = P.manuscript_sections(books, "i", "t").orderBy("i", "section_no").collect()
+    assert [(s.i, s.section_no, s.title, s.page, s.part, s.chapter, s.section_id) for s in got] == [
+        (1, 0, "Part One", 2, "ONE", None, None), (1, 1, "Chapter 2", 3, "ONE", 2, None), (1, 2, "3.1 A checklist of things", 4, "ONE", 2, "3.1")]
+    assert "Header" not in got[1].body and "12" not in got[0].body and got[0].body == body.strip()
+    lists = P.manuscript_sections(books, "i", "t").where("section_id = '3.1'")
+    items = P.checklist_items(lists, "i", "body").orderBy("item").collect()
+    assert (items[-1].group, items[-1].subgroup, items[-1].item) == ("a", "Noun phrases", 5) and items[-1].prompt.startswith("Are they") and "see pp" not in items[-1].prompt
+    assert items[-1].id == "a_noun_phrases_are_they_simple_or_complex_in_this_text"[:80] and P.manuscript_sections(books.limit(0), "i", "t").count() == 0
 
 
 def test_record_helpers(spark):
@@ -151,3 +164,65 @@ def test_record_helpers(spark):
     assert df.select(R.record_label(F.col("by"), F.lit(None), F.lit(""), F.lit(3)).alias("l")).first().l == "A | 3"
     p = df.select(R.profile_parts(F.col("m"), ["a"], ["b"]).alias("p")).first().p
     assert (p.computable, p.labels, p.extra) == ({"a": "1"}, {"b": "2"}, {"c": "3"})
+
+
+def test_profiles_files_and_choices(spark):
+    from proseloom.operators import chunking as K, labels as L, records as R, retrieval as V, sampling as S
+
+    df = spark.createDataFrame([({"n": "1", "pov": "a"}, {"pov": "b", "tone": "c", "n": "9"}, {"pov": "d", "tone": "e"})], "c map<string,string>, p map<string,string>, f map<string,string>")
+    got = lambda fresh, mode: df.select(R.pass_profile(F.col("c"), F.col("p"), F.col("f") if fresh else None, mode, ("pov",)).alias("x")).first().x
+    assert got(False, "full") == {"n": "1", "pov": "b", "tone": "c"} and got(True, "full") == {"n": "1", "pov": "d", "tone": "e"}
+    assert got(True, "deep") == {"n": "1", "pov": "b", "tone": "e"} and got(True, "both") == {"n": "9", "pov": "b", "tone": "e"}
+    names = ["a_styled.jsonl", "a_styled_seg_001.jsonl", "b_deep_seg_002.jsonl", "a_clean_styled.jsonl", "a_styled.json", "a.jsonl", None]
+    assert [r.x for r in spark.createDataFrame([(n,) for n in names], "n string").select(R.file_allowed(F.col("n")).alias("x")).collect()] == [True, True, True, False, False, False, False]
+    lines = spark.createDataFrame([("a_styled.jsonl", x) for x in ('{"metadata": {"style_profile": {"pov": "x"}}}', '{"metadata": {"style_profile": {"tone": "x"}}}', '{"text": "y"}', "{broken", " ", None)], "f string, l string")
+    assert tuple(R.validated(lines, "f", "l", ["pov"]).first()) == ("a_styled.jsonl", True, 4, 1, 1, 1)
+    picks = spark.range(4000).select(S.choose_weighted(1, {"a": 3, "b": 1, "c": 0}, F.col("id")).alias("x")).groupBy("x").count().collect()
+    share = {r.x: r["count"] / 4000 for r in picks}
+    assert set(share) == {"a", "b"} and abs(share["a"] - 0.75) < 0.03 and sum(L.FIRST_LETTERS.values()) > 100
+    assert S.sample_by_rate(spark.range(1001), "id", 0.1).count() == 100 and S.sample_by_rate(spark.range(0), "id", 0.1).count() == 0
+    assert [r.id for r in S.first_rows(spark.range(50), ["id"], 3).collect()] == [0, 1, 2]
+    assert [r.x for r in spark.createDataFrame([("On Metaphor", ""), ("x", "y" * 310 + "style"), (None, None)], "t string, c string").select(V.style_relevant(F.col("t"), F.col("c")).alias("x")).collect()] == [True, False, False]
+    assert [r.x for r in spark.createDataFrame([("low",), ("zzz",), (None,)], "k string").select(R.lookup(F.col("k"), {"low": "plain"}, "none").alias("x")).collect()] == ["plain", "none", "none"]
+    q = spark.createDataFrame([(1, "metaphor of the river"), (2, "nothing shared here"), (3, None)], "q int, t string").selectExpr("*", "1 AS i", "2 AS s")
+    kb = spark.createDataFrame([(10, "figure", "the river"), (11, "irony", "a tale"), (12, "the", "the")], "k int, title string, body string").selectExpr("*", "1 AS q")
+    assert {tuple(r) for r in V.top_k(q, "q", "t", kb, "k", "title", "body", 2).collect()} == {(1, 10, 7, 1), (1, 11, 5, 2)}
+    sec = spark.createDataFrame([(1, "On style", "x" * 130), (2, "y", "z" * 10)], "k int, title string, body string")
+    assert V.knowledge_records(sec, "k", "title", "body").count() == 1
+    long = " ".join(f"This is sentence number {i} of the record." for i in range(200))
+    rec = spark.createDataFrame([(1, long, "s", "A"), (2, "Short text.", None, "B"), (3, None, "s", "C")], "i int, t string, src string, title string").selectExpr("*", "9 AS chunk", "8 AS word_count")
+    got = {}
+    for r in K.chunk_records(rec, "i", "t", "src", "title").collect():
+        got.setdefault(r.i, []).append(r)
+    assert set(got) == {1, 2} and got[2][0].text == "Short text." and got[2][0].metadata.source == "unknown" and got[2][0].metadata.total_chunks == 1
+    assert len(got[1]) > 2 and all(r.metadata.title == "A" and r.metadata.total_chunks == len(got[1]) and r.metadata.chunk_size == 500 for r in got[1])
+    books = spark.createDataFrame([(5, 0, "The Title", "Ann", long), (5, 1, None, None, "Second book text here.")], "f int, n int, title string, author string, text string")
+    assert {r.story_key for r in K.book_chunks(books, "f", "n").collect()} == {"the_title:0", "untitled:1"}
+
+
+def test_byte_segments_over_many_tasks(spark):
+    import random
+
+    from proseloom.operators.chunking import byte_segments
+
+    rng = random.Random(3)
+    rows = [(None if g == 2 else f"g{g}", i, None if rng.random() < 0.02 else rng.choice((1, 40, 90, 300))) for g in range(3) for i in range((900, 7, 40)[g])]
+    want, state = {}, {}
+    for g, i, n in sorted(rows, key=lambda r: (r[0] or "", r[1])):
+        held, seg = state.get(g, (0, 0))
+        n = n or 0
+        held, seg = (n, seg + 1) if held > 0 and held + n > 200 else (held + n, seg)
+        state[g] = (held, seg)
+        want[g, i] = seg
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, o int, n int")
+    assert {(r.g, r.o): r.segment for r in byte_segments(df, "g", "o", "n", 200).collect()} == want
+    assert byte_segments(df.limit(0), "g", "o", "n", 200).count() == 0
+
+
+def test_english_only(spark):
+    from proseloom.functions import quality as Q
+
+    df = spark.createDataFrame([(1, "the old man and the sea " * 5, None), (2, "Кот и пёс", None), (3, "zzz qqq " * 9, None), (4, "the cat and the dog", "fr"), (5, "zzz", "en"), (6, None, None)], "i int, t string, d string")
+    got = {r.i: (r.language, r.kept, r.reason) for r in Q.english_only(df, "t", "i", detected=F.col("d")).collect()}
+    assert got == {1: ("en", True, None), 2: ("non_en", False, "non_english"), 3: ("unknown", False, "unknown_language"), 4: ("fr", False, "non_english"), 5: ("en", True, None), 6: ("unknown", False, "unknown_language")}
