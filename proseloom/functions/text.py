@@ -122,7 +122,7 @@ def genres_of_flags(c: Column) -> Column:
 
 def first_text(*cols: Column) -> Column:
     """The first column that is not blank, trimmed."""
-    return F.coalesce(*[F.when(F.trim(c) != "", F.trim(c)) for c in cols])
+    return F.coalesce(*[F.when(strip(c) != "", strip(c)) for c in cols])
 
 
 def rounded(c: Column, digits: int) -> Column:

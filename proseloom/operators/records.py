@@ -131,7 +131,7 @@ def pick_text(df: DataFrame, preferred: str | None = None) -> Column:
     strings = [c for c, t in df.dtypes if t == "string"]
     if preferred in strings:
         return F.col(preferred)
-    first = [F.when(F.trim(c) != "", F.col(c)) for c in names if c in strings]
+    first = [F.when(T.strip(F.col(c)) != "", F.col(c)) for c in names if c in strings]
     long = [F.when(T.word_count(T.text_of(c)) >= 20, F.col(c)) for c in strings]
     return F.coalesce(*first, *long, F.lit(None).cast("string"))
 

@@ -91,7 +91,20 @@ def whitespace_normalized(spark, d):
     return docs(spark, d).select("doc_id", F.md5(T.normalize_whitespace(T.text_of("text")).cast("binary")).alias("hash"))
 
 
-@query("reflowed_docs")
+_MERGE = lambda a, b: f"coalesce((regexp_matches({a}, '^[A-Z]$') OR regexp_matches({a}, '^[A-Z][a-z'']{{1,11}}$')) AND regexp_matches({b}, '^\\p{{Ll}}'), false)"
+_GLUE = lambda a, b: f"{a} || CASE WHEN regexp_matches({a}, '^[A-Z]$') THEN '' ELSE ' ' END || {b}"
+_REFLOW = f"""
+p AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(regexp_replace(t, '\\r\\n?', chr(10), 'g'), '\\n{X.WS}*\\n'), lambda x: {X.strip('x')}), lambda x: x <> '') AS ps FROM d),
+u AS (SELECT doc_id, i, ps[i] AS a, ps[i + 1] AS b FROM (SELECT doc_id, ps, unnest(range(1, len(ps) + 1)) AS i FROM p)),
+m AS (SELECT *, {_MERGE('a', 'b')} AS m FROM u),
+k AS (SELECT *, m AND (i - coalesce(max(CASE WHEN NOT m THEN i END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) % 2 = 1 AS joins FROM m),
+s AS (SELECT doc_id, i, CASE WHEN joins THEN {_GLUE('a', 'b')} ELSE a END AS x, lag(joins, 1, false) OVER (PARTITION BY doc_id ORDER BY i) AS gone FROM k),
+l AS (SELECT doc_id, i, list_filter(list_transform(string_split(x, chr(10)), lambda y: {X.strip('y')}), lambda y: y <> '') AS ls FROM s WHERE NOT gone),
+q AS (SELECT doc_id, i, CASE WHEN len(ls) >= 2 AND {_MERGE('ls[1]', 'ls[2]')} THEN list_concat([{_GLUE('ls[1]', 'ls[2]')}], list_slice(ls, 3, len(ls))) ELSE ls END AS ls FROM l),
+reflowed AS (SELECT d.doc_id, coalesce(string_agg(replace(replace(array_to_string(ls, chr(1)), '-' || chr(1), ''), chr(1), ' '), chr(10) || chr(10) ORDER BY i), '') AS text FROM d LEFT JOIN q USING (doc_id) GROUP BY d.doc_id)"""
+
+
+@query("reflowed_docs", f"WITH d AS ({D}), {_REFLOW} SELECT doc_id, length(text) AS n_chars, {X.wc('text')} AS n_words, md5(text) AS hash FROM reflowed")
 def reflowed_docs(spark, d):
     r = docs(spark, d).select("doc_id", T.reflow(T.text_of("text")).alias("text"))
     return r.select("doc_id", F.length("text").alias("n_chars"), T.word_count(F.col("text")).alias("n_words"), F.md5(F.col("text").cast("binary")).alias("hash"))
@@ -111,22 +124,43 @@ def archive_books(spark, d):
     return b.select("doc_id", "book_no", "title", "author", T.word_count(F.col("text")).alias("n_words"))
 
 
-@query("packed_paragraphs")
+def _greedy(name: str, src: str, glue: int, keys: str = "doc_id") -> str:
+    """Recursive greedy packing of lengths n in order k."""
+    same = " AND ".join(f"g.{x.strip()} IS NOT DISTINCT FROM s.{x.strip()}" for x in keys.split(","))
+    own = ", ".join(f"s.{x.strip()}" for x in keys.split(","))
+    return f"""{name} AS (SELECT {keys}, k, n, 0 AS part, n AS held FROM {src} WHERE k = 1
+  UNION ALL SELECT {own}, s.k, s.n, CASE WHEN g.held + {glue} + s.n > 3500 THEN g.part + 1 ELSE g.part END, CASE WHEN g.held + {glue} + s.n > 3500 THEN s.n ELSE g.held + {glue} + s.n END
+  FROM {name} g JOIN {src} s ON {same} AND s.k = g.k + 1)"""
+
+
+@query("packed_paragraphs", f"""
+WITH RECURSIVE d AS ({D}), p AS (SELECT doc_id, i, ps[i] AS p FROM (SELECT doc_id, ps, unnest(range(1, len(ps) + 1)) AS i FROM (
+  SELECT doc_id, list_filter(list_transform(regexp_split_to_array(t, '\\n{X.WS}*\\n'), lambda x: {X.strip('x')}), lambda x: x <> '') AS ps FROM d))),
+f AS (SELECT doc_id, i, string_split(regexp_replace(p, '([.!?]){X.WS}+', '\\1' || chr(1), 'g'), chr(1)) AS fs FROM p WHERE length(p) > 3500),
+e AS (SELECT doc_id, i, j AS k, length(fs[j]) AS n FROM (SELECT doc_id, i, fs, unnest(range(1, len(fs) + 1)) AS j FROM f)),
+{_greedy('ge', 'e', 1, 'doc_id, i')},
+units AS (SELECT doc_id, i, part, sum(n) + count(*) - 1 AS n FROM ge GROUP BY ALL UNION ALL SELECT doc_id, i, 0, length(p) FROM p WHERE length(p) <= 3500),
+un AS (SELECT doc_id, n, row_number() OVER (PARTITION BY doc_id ORDER BY i, part) AS k FROM units),
+{_greedy('gu', 'un', 2)}
+SELECT doc_id, part, CAST(sum(n) + 2 * (count(*) - 1) AS INTEGER) AS n_chars FROM gu GROUP BY doc_id, part""")
 def packed_paragraphs(spark, d):
     return chunking.packed(docs(spark, d), "doc_id", "text").select("doc_id", "part", F.length("piece").alias("n_chars"))
 
 
-@query("default_labels")
+@query("default_labels", f"SELECT doc_id, unnest([{', '.join(repr(f) for f in sorted(labels.FAST))}]) AS dimension, 'moderate' AS label, CAST(NULL AS VARCHAR) AS error FROM documents WHERE text IS NOT NULL")
 def default_labels(spark, d):
     dims = [{"id": f, "values": ["low", "moderate", "high"]} for f in labels.FAST]
     score = labels.default_scorer(dims)
-    return labels.annotate(docs(spark, d), "doc_id", "text", score, score([""])[0])
+    return labels.annotate(docs(spark, d), "doc_id", "text", score, score([""])[0]).select("doc_id", F.explode("labels").alias("dimension", "label"), "error")
 
 
+_TITLES = """['admiral', 'brother', 'captain', 'chief', 'col', 'colonel', 'commander', 'consul', 'councillor', 'count', 'countess', 'doctor', 'dr', 'duchess', 'duke', 'elder', 'emperor', 'empress', 'ensign',
+'father', 'gen', 'general', 'governor', 'judge', 'king', 'lady', 'lieutenant', 'lord', 'lt', 'madam', 'madame', 'major', 'marshal', 'master', 'miss', 'mr', 'mrs', 'ms', 'mother', 'officer', 'president',
+'prince', 'princess', 'prof', 'professor', 'queen', 'regent', 'reverend', 'rev', 'senator', 'sergeant', 'sgt', 'sheriff', 'sir', 'sister', 'specialist', 'sultan', 'vizier', 'warden']"""
 _W = "string_split(n, ' ')"
 _NAMES = f"""WITH a AS (SELECT DISTINCT story_id, source, author FROM stories),
 b AS (SELECT *, lower(trim(regexp_replace(coalesce(author, ''), '\\s+', ' ', 'g'))) AS n FROM a), c AS (SELECT *, {_W} AS w FROM b),
-e AS (SELECT *, coalesce(list_filter(w, lambda p: NOT list_contains([{', '.join(f"'{t}'" for t in labels.TITLES)}], regexp_replace(p, '[^\\w]', '', 'g')))[1], w[-1]) AS f,
+e AS (SELECT *, coalesce(list_filter(w, lambda p: NOT list_contains({_TITLES}, regexp_replace(p, '[^\\w]', '', 'g')))[1], w[-1]) AS f,
   CASE WHEN len(w) >= 3 AND w[-2] = 'of' THEN w[-3] ELSE w[-1] END AS l FROM c)"""
 
 
@@ -187,7 +221,16 @@ def category_infer(spark, d):
     return docs(spark, d).select("doc_id", M.category(F.col("title"), F.col("text")).alias("category"), M.heat(F.col("text")).alias("heat"))
 
 
-@query("header_metadata")
+_HEAD = r"\b(?:chapter|prologue|contents|entry in)\b"
+
+
+@query("header_metadata", f"""
+WITH d AS ({D}), a AS (SELECT doc_id, {X.strip("string_split(replace(substring(t, 1, 400), chr(13) || chr(10), chr(10)), chr(10))[1]")} AS l FROM d),
+b AS (SELECT doc_id, {X.strip("regexp_split_to_array(l, '\\s{3,}')[1]")} AS l FROM a),
+c AS (SELECT doc_id, CASE WHEN regexp_matches(l, '(?i){_HEAD}') AND length(regexp_extract(l, '(?i)^(.*?){_HEAD}', 1)) >= 11 THEN {X.strip(f"regexp_extract(l, '(?i)^(.*?){_HEAD}', 1)")} ELSE l END AS l FROM b),
+w AS (SELECT doc_id, {X.words('l')} AS w FROM c), k AS (SELECT doc_id, w, trim(array_to_string(list_slice(w, 3, len(w)), ' '), ' .') AS title FROM w),
+o AS (SELECT *, coalesce(len(w) >= 3 AND regexp_matches(w[1], '^\\p{{Lu}}') AND regexp_matches(w[2], '^\\p{{Lu}}') AND title <> '', false) AS ok FROM k)
+SELECT doc_id, CASE WHEN ok THEN w[1] || ' ' || w[2] END AS author, CASE WHEN ok THEN title END AS title FROM o""")
 def header_metadata(spark, d):
     return docs(spark, d).select("doc_id", M.header(T.text_of("text")).alias("h")).select("doc_id", "h.*")
 
@@ -435,6 +478,20 @@ def train_val_split(spark, d):
     return sampling.split_by_fraction(docs(spark, d).select("doc_id"), "doc_id", 0.1)
 
 
+_PICK = lambda seed, key: f"CAST('0x' || substring(md5('{seed}|' || {key}), 1, 8) AS BIGINT)"
+_DIMS = sorted(pairs.ASK)
+
+
+@query("instruction_choices", f"""
+WITH d AS ({D}), b AS (SELECT doc_id FROM d WHERE {X.wc('t')} >= 20),
+a AS (SELECT doc_id, dim, row_number() OVER (PARTITION BY doc_id ORDER BY md5('42|' || doc_id || '|' || dim), dim) AS k FROM b, (SELECT unnest([{', '.join(repr(x) for x in _DIMS)}]) AS dim))
+SELECT doc_id, 'classification' AS task_type, CAST(NULL AS VARCHAR) AS dimension, [{', '.join("'" + X.esc(x) + "'" for x in pairs.CLASSIFY)}][{_PICK('42c', 'doc_id')} % {len(pairs.CLASSIFY)} + 1] AS instruction FROM b
+UNION ALL SELECT doc_id, 'judgment', dim, CASE dim {' '.join(f"WHEN '{x}' THEN [" + ', '.join("'" + X.esc(y) + "'" for y in pairs.ASK[x]) + f"][{_PICK('42' + x, 'doc_id')} % {len(pairs.ASK[x])} + 1]" for x in _DIMS)} END FROM a WHERE k <= 2""")
+def instruction_choices(spark, d):
+    p = pairs.instruction_pairs(S.metrics(docs(spark, d).select("doc_id", "text"), "text"), "doc_id", "text", "style", judgments=2)
+    return p.select("doc_id", "task_type", "dimension", "instruction")
+
+
 @query("instruction_pairs")
 def instruction_pairs(spark, d):
     p = pairs.instruction_pairs(S.metrics(docs(spark, d).select("doc_id", "source", "text"), "text"), "doc_id", "text", "style")
@@ -529,6 +586,6 @@ def throughput_window(spark, d):
     return runs.rolling_rate(table(spark, d, "events"), "user_id", "ts", "event_id").select("event_id", "rate")
 
 
-@query("stream_last_wins", "SELECT id, max(updated_at) AS updated_at FROM segment_records GROUP BY id")
+@query("stream_last_wins", f"{_STATE} SELECT id, corpus, segment_index, bytes, updated_at FROM l")
 def stream_last_wins(spark, d):
-    return resume.replay_last_wins(spark, f"{d}/segment_records.parquet", "id", "updated_at").select("id", "updated_at")
+    return resume.replay_last_wins(spark, f"{d}/segment_records.parquet", "id", "updated_at").select("id", "corpus", "segment_index", "bytes", "updated_at")

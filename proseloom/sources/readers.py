@@ -6,11 +6,13 @@ import fnmatch
 import json
 import os
 from dataclasses import dataclass, field
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+from ..functions.text import strip
+from . import files
+
 SUFFIXES = (".jsonl", ".json", ".csv", ".tsv", ".parquet", ".txt")
 #: Files of a dataset folder that hold no rows.
 NOT_DATA = {"README.md", ".gitattributes", "dataset_infos.json"}
@@ -32,34 +34,33 @@ class Manifest:
     min_words: int = 30
 
     @classmethod
-    def load(cls, path: str) -> "Manifest":
-        known = json.loads(Path(path).read_text())
+    def load(cls, text: str) -> "Manifest":
+        known = json.loads(text)
         return cls(**{k: v for k, v in known.items() if k in cls.__dataclass_fields__})
 
 
-def find_manifest(folder: str, name: str) -> Manifest:
+def find_manifest(spark: SparkSession, folder: str, name: str) -> Manifest:
     """By file stem, then slug, then the last part of the repository id; a default where there is none."""
-    every = [(p, Manifest.load(str(p))) for p in sorted(Path(folder).glob("*.json"))]
+    names = [n for n in files.files_below(spark, folder) if n.endswith(".json") and "/" not in n]
+    every = [(n.removesuffix(".json"), Manifest.load(files.read_text(spark, f"{folder}/{n}"))) for n in names]
     tail = name.rsplit("/", 1)[-1]
-    for test in (lambda p, m: p.stem == tail, lambda p, m: m.slug == tail, lambda p, m: m.repo_id.rsplit("/", 1)[-1] == tail):
-        for p, m in every:
-            if test(p, m):
+    for test in (lambda stem, m: stem == tail, lambda stem, m: m.slug == tail, lambda stem, m: m.repo_id.rsplit("/", 1)[-1] == tail):
+        for stem, m in every:
+            if test(stem, m):
                 return m
     return Manifest(repo_id=name, slug=tail)
 
 
-def discover(folder: str, pattern: str | None = None, include=None, exclude=()) -> list[str]:
+def discover(spark: SparkSession, folder: str, pattern: str | None = None, include=None, exclude=()) -> list[str]:
     """Data files below a folder, sorted, by a manifest's pattern or by known suffixes; folders may be included or excluded by name."""
     out = []
-    for base, _, names in os.walk(folder):
-        for n in names:
-            path = os.path.relpath(os.path.join(base, n), folder)
-            top = path.split(os.sep)[0]
-            if n in NOT_DATA or top in exclude or include is not None and top not in include:
-                continue
-            if fnmatch.fnmatch(path, pattern) if pattern else n.endswith(SUFFIXES):
-                out.append(os.path.join(folder, path))
-    return sorted(out)
+    for path in files.files_below(spark, folder):
+        name, top = path.rsplit("/", 1)[-1], path.split("/")[0]
+        if name in NOT_DATA or top in exclude or include is not None and top not in include:
+            continue
+        if fnmatch.fnmatch(path, pattern) if pattern else name.endswith(SUFFIXES):
+            out.append(f"{folder}/{path}")
+    return out
 
 
 def read_jsonl(spark: SparkSession, path, schema: StructType | None = None, strict: bool = False) -> DataFrame:
@@ -90,8 +91,8 @@ def read_csv(spark: SparkSession, path, sep: str = ",") -> DataFrame:
 
 def read_text(spark: SparkSession, path) -> DataFrame:
     """A row (text, source_file) per file; empty files give none."""
-    df = spark.read.option("wholetext", "true").text(path).select(F.trim("value").alias("text"), F.col("_metadata.file_name").alias("source_file"))
-    return df.where(F.regexp_replace("text", r"\s", "") != "")
+    df = spark.read.text(path, wholetext=True).select(strip(F.col("value")).alias("text"), F.col("_metadata.file_name").alias("source_file"))
+    return df.where("text <> ''")
 
 
 def read_any(spark: SparkSession, paths: list[str]) -> DataFrame | None:

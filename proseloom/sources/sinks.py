@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import json
-import os
-import shutil
-from pathlib import Path
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from . import files
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", single: bool = False) -> None:
@@ -23,34 +22,44 @@ def write_by_author(df: DataFrame, path: str, slug: str = "author_slug") -> Data
     return named.groupBy(slug).agg(F.count("*").alias("n"))
 
 
-def write_kept_and_rejected(df: DataFrame, keep, kept_path: str, rejected_path: str) -> None:
-    """Rows by a condition into two folders, from one cached classification."""
-    flagged = df.withColumn("_keep", F.coalesce(keep, F.lit(False))).persist()
+def write_kept_and_rejected(df: DataFrame, keep, kept_path: str, rejected_path: str, reason=None) -> None:
+    """Rows by a condition into two folders, from one cached classification; rejected rows carry ``reason``."""
+    flagged = df.withColumns({"_keep": F.coalesce(keep, F.lit(False)), "reject_reason": reason if reason is not None else F.lit(None).cast("string")}).persist()
     try:
-        flagged.where("_keep").drop("_keep").write.mode("overwrite").json(kept_path)
+        flagged.where("_keep").drop("_keep", "reject_reason").write.mode("overwrite").json(kept_path)
         flagged.where("not _keep").drop("_keep").write.mode("overwrite").json(rejected_path)
     finally:
         flagged.unpersist()
 
 
+def write_segments(df: DataFrame, path: str, group: str, segment: str = "segment") -> None:
+    """Rows with their segment numbers (see ``byte_segments``) as a folder per group and segment."""
+    df.repartition(group, segment).write.mode("overwrite").partitionBy(group, segment).json(path)
+
+
 def replace_with_backup(df: DataFrame, path: str, backup: bool = True) -> None:
-    """Write beside the target, then swap; the first backup is kept. For local and mounted folders."""
+    """Write beside the target, then swap; the first backup is kept."""
+    spark = df.sparkSession
     tmp, bak = f"{path}.tmp", f"{path}.bak"
     df.write.mode("overwrite").json(tmp)
-    if os.path.exists(path):
-        if backup and not os.path.exists(bak):
-            os.rename(path, bak)
+    if files.exists(spark, path):
+        if backup and not files.exists(spark, bak):
+            files.rename(spark, path, bak)
         else:
-            shutil.rmtree(path)
-    os.rename(tmp, path)
+            files.delete(spark, path)
+    files.rename(spark, tmp, path)
+
 
+def update_index(spark: SparkSession, path: str, **counts) -> bool:
+    """Merge counters into an index file, nested ones key by key; false, and nothing done, where it is missing or broken."""
+    def merged(old, new):
+        return {k: merged(old[k], v) if isinstance(old.get(k), dict) and isinstance(v, dict) else v for k, v in (old | new).items()}
 
-def update_index(path: str, **counts) -> bool:
-    """Merge counters into an index file; false, and nothing done, where it is missing or broken."""
-    p = Path(path)
     try:
-        index = json.loads(p.read_text())
-    except (OSError, ValueError):
+        index = json.loads(files.read_text(spark, path)) if files.exists(spark, path) else None
+    except ValueError:
+        index = None
+    if not isinstance(index, dict):
         return False
-    p.write_text(json.dumps(index | counts, ensure_ascii=False, indent=2))
+    files.write_text(spark, path, json.dumps(merged(index, counts), ensure_ascii=False, indent=2))
     return True

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import cut_lineage
+from ..sources.files import is_folder
 
 
 def _folder(spark: SparkSession) -> str:
@@ -30,11 +31,9 @@ def last_wins(appended: DataFrame, key: str, order: str) -> DataFrame:
 
 def replay_last_wins(spark: SparkSession, path: str, key: str, order: str) -> DataFrame:
     """The table at ``path`` read as a stream into an append-only log, compacted on reading."""
-    import os
-
-    base = _folder(spark)
-    folder = path if os.path.isdir(path) else os.path.dirname(path)
-    schema = spark.read.parquet(path).select(key, order).schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet" if os.path.isdir(path) else os.path.basename(path)).parquet(folder)
+    base, whole = _folder(spark), is_folder(spark, path)
+    folder, _, name = path.rpartition("/")
+    schema = spark.read.parquet(path).schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet" if whole else name).parquet(path if whole else folder)
     stream.writeStream.format("parquet").option("path", f"{base}/log").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
     return last_wins(spark.read.schema(schema).parquet(f"{base}/log"), key, order)

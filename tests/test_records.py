@@ -87,8 +87,8 @@ def test_readers_and_sinks(spark, tmp_path):
     (tmp_path / "d/e.tsv").write_text("text\tn\nworld\t2\n")
     (tmp_path / "d/f.txt").write_text("  a whole\nfile ")
     (tmp_path / "d/README.md").write_text("no")
-    files = readers.discover(str(tmp_path / "d"))
-    assert len(files) == 5 and readers.discover(str(tmp_path / "d"), "*.csv") == [str(tmp_path / "d/c.csv")]
+    files = readers.discover(spark, str(tmp_path / "d"))
+    assert len(files) == 5 and readers.discover(spark, str(tmp_path / "d"), "*.csv") == [str(tmp_path / "d/c.csv")]
     assert sorted(r.text for r in readers.read_jsonl(spark, files[0]).collect()) == ["x", "y"]
     assert sorted(r.text for r in readers.read_json(spark, files[1]).collect()) == ["p", "q"]
     assert [tuple(r) for r in readers.read_csv(spark, files[3], "\t").collect()] == [("world", "2")]
@@ -100,9 +100,9 @@ def test_readers_and_sinks(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "k")).count() == 2 and spark.read.json(str(tmp_path / "r")).count() == 1
     sinks.replace_with_backup(df, str(tmp_path / "k"))
     assert spark.read.json(str(tmp_path / "k")).count() == 3 and (tmp_path / "k.bak").exists()
-    assert not sinks.update_index(str(tmp_path / "no.json"), n=1)
+    assert not sinks.update_index(spark, str(tmp_path / "no.json"), n=1)
     (tmp_path / "i.json").write_text(json.dumps({"a": 1}))
-    assert sinks.update_index(str(tmp_path / "i.json"), n=2) and json.loads((tmp_path / "i.json").read_text()) == {"a": 1, "n": 2}
+    assert sinks.update_index(spark, str(tmp_path / "i.json"), n=2) and json.loads((tmp_path / "i.json").read_text()) == {"a": 1, "n": 2}
 
 
 def test_stream_resumes_and_compacts(spark, tmp_path):
