@@ -251,7 +251,7 @@ PIECES = "chunk_id long, piece int, start long, cut_left boolean, cut_right bool
 
 def pieces(chunks: DataFrame) -> DataFrame:
     """Texts as pieces of at most PIECE characters; only longer texts go through the cutter and are spread."""
-    rows = chunks.select("chunk_id", "text").where(F.col("text").isNotNull() & (F.trim("text") != ""))
+    rows = chunks.select("chunk_id", "text").where(F.col("text").rlike(r"(?U)\S"))  # neither null nor blank
     short = rows.where(F.length("text") <= PIECE).select(
         "chunk_id", F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"), F.lit(False).alias("cut_left"), F.lit(False).alias("cut_right"), "text")
     long = rows.where(F.length("text") > PIECE).mapInArrow(split_long, PIECES).repartition("chunk_id", "piece")

@@ -50,6 +50,12 @@ def p3_stats(spark, d):
     return quality.every_chunk(chunks, boilerplate.node_arrays(boilerplate.nodes(chunks)))
 
 
+def p3_measures(spark, d):
+    """The statistics of p3_stats that need no word lists, rounded."""
+    r = lambda c: (F.floor(F.col(c) * 1e6 + 0.5) / 1e6).alias(c)
+    return p3_stats(spark, d).select("chunk_id", "n_chars", "n_words", "n_lines", r("mean_word_length"), r("symbol_ratio"), r("ended_lines_ratio"))
+
+
 def p3_found(spark, d):
     chunks = _chunks(spark, d)
     return quality.stats(chunks, boilerplate.node_arrays(boilerplate.nodes(chunks))).where("verdict = 'other'").select("chunk_id")
@@ -200,6 +206,26 @@ u AS (SELECT source_dataset, k, k2 FROM g UNION SELECT source_dataset, k2, k FRO
 r AS (SELECT source_dataset, k, k AS root FROM h UNION SELECT r.source_dataset, u.k2, r.root FROM r JOIN u ON u.source_dataset = r.source_dataset AND u.k = r.k),
 c AS (SELECT source_dataset, k, min(root) AS root FROM r GROUP BY source_dataset, k)
 SELECT source_dataset, count(*) AS n_lines, min(h.c) AS least_support, max(h.c) AS most_support FROM c JOIN h USING (source_dataset, k) GROUP BY source_dataset, root
+""",
+    "p3_measures": r"""
+WITH c AS (SELECT DISTINCT chunk_id, source_dataset, text FROM chunks),
+l AS (SELECT chunk_id, source_dataset, i, line, regexp_replace(lower(line), '[^\p{L}]+', '', 'g') AS k
+      FROM (SELECT chunk_id, source_dataset, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM c WHERE text IS NOT NULL)),
+n AS (SELECT source_dataset, count(DISTINCT chunk_id) AS n FROM c GROUP BY source_dataset),
+s AS (SELECT source_dataset, k, count(DISTINCT chunk_id) AS c FROM l WHERE k <> '' AND source_dataset IS NOT NULL GROUP BY source_dataset, k),
+h AS (SELECT s.source_dataset, s.k FROM s JOIN n USING (source_dataset) WHERE s.c >= 5 AND s.c >= 0.03 * n.n),
+o AS (SELECT chunk_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE h.k IS NULL OR len(list_filter(regexp_split_to_array(line, '\s+'), lambda w: regexp_matches(w, '\p{L}'))) < 3), '') AS text
+      FROM l LEFT JOIN h ON h.source_dataset = l.source_dataset AND h.k = l.k GROUP BY chunk_id)
+,
+e AS (SELECT chunk_id, o.text FROM (SELECT DISTINCT chunk_id FROM c) LEFT JOIN o USING (chunk_id)),
+v AS (SELECT chunk_id, text, regexp_extract_all(lower(text), '[\p{L}\p{Nl}\p{No}]+') AS w,
+      list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13) || chr(11) || chr(12) || chr(160))), lambda x: x <> '') AS f,
+      len(regexp_extract_all(text, '[^\p{L}\p{N}\s\x0b\x{a0}.,;:!?''"\-()…–—«»„“”‘’‹›¿¡]')) AS n_symbols FROM e),
+k AS (SELECT chunk_id, coalesce(text IS NOT NULL AND len(f) > 0, false) AS has, length(text) + 1 AS n_chars, len(w) AS n_words, len(f) AS n_lines, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS n_letters, n_symbols,
+      len(list_filter(f, lambda x: right(x, 1) IN ('.', '!', '?', '…', '"', chr(39), '”', '’', '»', ';', ',', '-', '—', ':'))) AS n_ended FROM v)
+SELECT chunk_id, CAST(CASE WHEN has THEN n_chars ELSE 0 END AS BIGINT) AS n_chars, CAST(CASE WHEN has THEN n_words ELSE 0 END AS BIGINT) AS n_words, CAST(CASE WHEN has THEN n_lines ELSE 0 END AS BIGINT) AS n_lines,
+  CASE WHEN has AND n_words > 0 THEN floor(n_letters / n_words * 1e6 + 0.5) / 1e6 ELSE 0 END AS mean_word_length, CASE WHEN has THEN floor(n_symbols / n_chars * 1e6 + 0.5) / 1e6 ELSE 0 END AS symbol_ratio,
+  CASE WHEN has THEN floor(n_ended / n_lines * 1e6 + 0.5) / 1e6 ELSE 0 END AS ended_lines_ratio FROM k
 """,
     "p4_clean": r"""
 WITH c AS (SELECT DISTINCT chunk_id, source_dataset, text FROM chunks),
