@@ -21,7 +21,8 @@ unknown labels state nothing. Empty tables give an empty result.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,7 @@ FIRST_LONGEST = 5           # letters of the longest phrase while training: shor
 FOLD = 0.5                  # part of these in the automata that training parses with
 FOREIGN = 1.12              # phrases without a label's own text over those with it, below which it is no language
 CLEAR, SLACK = 0.15, 1.35   # confidence from which a segment counts for its text's main language; phrases, against the best language, with which it teaches that one
+LETTERS, BLOCKS = 120, 24   # most frequent letters with a column of their own in the tables, and columns that all others share
 LONGEST = 250               # letters of the longest phrase
 DEFAULT = "en"
 SHARE = 0.25                # a text is written in every language with at least this share of its words
@@ -99,8 +101,10 @@ class Automaton:
 
     def __init__(self, samples: dict[str, list[str]], own: float = OWN):
         self.languages = sorted(samples)
-        self.alphabet = "".join(sorted({c for ts in samples.values() for t in ts for c in t}))
-        code = {c: i + 1 for i, c in enumerate(self.alphabet)}
+        letters = Counter(chain.from_iterable(t for ts in samples.values() for t in ts))
+        self.alphabet = "".join(sorted(c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))[:LETTERS]))
+        self.blocks = BLOCKS if len(letters) > LETTERS else 0  # the other letters go by their place in Unicode
+        code = {c: len(self.alphabet) + 1 + (ord(c) >> 7) % BLOCKS for c in letters} | {c: i + 1 for i, c in enumerate(self.alphabet)}
         go: list[dict] = [{}]
         link, length = [-1], [0]
         ends, per = [], []
@@ -164,11 +168,12 @@ class Parser:
 
     def __init__(self, a: Automaton, longest: int = LONGEST):
         self.languages, k = a.languages, len(a.languages)
-        self.letters = len(a.alphabet) + 1
-        self.code = np.zeros(0x10000, dtype=np.uint8)
+        self.letters = len(a.alphabet) + 1 + a.blocks
+        self.code = np.zeros(0x110000, dtype=np.uint8)
+        if a.blocks:
+            self.code[:] = len(a.alphabet) + 1 + (np.arange(0x110000) >> 7) % a.blocks
         for i, c in enumerate(a.alphabet):
-            if ord(c) < 0x10000:
-                self.code[ord(c)] = i + 1
+            self.code[ord(c)] = i + 1
         size = len(a.link)
         length = np.minimum(a.length, LONGEST).astype(np.uint8)
         levels = _levels(a.link)
@@ -216,7 +221,7 @@ class Parser:
         k = len(self.languages)
         n = np.fromiter(map(len, segments), dtype=np.int64, count=len(segments))
         raw = np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        codes = self.code[np.where(raw < 0x10000, raw, 0)]
+        codes = self.code[raw]
         start = np.cumsum(n) - n
         match = np.maximum(self.matches(codes, start, n), 1)
         count = np.zeros((len(n), k), dtype=np.int32)

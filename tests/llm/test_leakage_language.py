@@ -162,6 +162,15 @@ def test_parses_have_the_fewest_phrases(x, y, strings):
     assert got.tolist() == [[least_phrases(s, x), least_phrases(s, y)] for s in strings]
 
 
+def test_scripts_of_many_letters():
+    rng = random.Random(4)
+    han = lambda n: "".join(chr(0x4E00 + rng.randrange(3_000)) for _ in range(n))
+    p = L.Parser(L.Automaton({"zh": [f" {han(400)} " for _ in range(10)], "en": [L.running(s.split()) for s in SAMPLES["en"]] * 200}))
+    got = p.phrases([f" {han(60)} ", " the old man went to the river ", "\U0001F600x", ""])
+    zh, en = p.languages.index("zh"), p.languages.index("en")
+    assert got[0, zh] < got[0, en] and got[1, en] < got[1, zh] and got[3].tolist() == [0, 0] and p.letters <= 1 + L.LETTERS + L.BLOCKS
+
+
 def test_phrases_cross_words_and_segments_have_their_places():
     p = L.Parser(L.Automaton({"en": [" the old man went to the river "], "de": [" der alte mann ging an den fluss "]}, own=0))
     assert p.phrases([" old man went "]).tolist()[0][p.languages.index("en")] == 1
