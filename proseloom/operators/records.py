@@ -30,11 +30,21 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 
 
-def pending(df: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key is not among the done ones (null keys are pending)."""
+def pending(df: DataFrame, done: DataFrame, keys: list[str], finished: Column | None = None) -> DataFrame:
+    """Rows whose key is not among the done ones, of which only the ``finished`` ones count where that is given (null keys are pending)."""
+    done = done if finished is None else done.where(finished)
     return df.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
+def project_books(df: DataFrame, text: str, title: str, author: str, story_id: str, min_words: int = 100) -> DataFrame:
+    """(story_id, story_key, title, author, author_slug, title_slug, word_count, text) of rows of at least ``min_words``; story_key is author_slug:story_id."""
+    rows = T.once(df, _n=T.word_count(T.text_of(text))).where(F.col("_n") >= min_words)
+    slug = T.author_slug(F.col(author))
+    return rows.select(
+        F.col(story_id).alias("story_id"), F.concat_ws(":", slug, F.col(story_id).cast("string")).alias("story_key"), F.col(title).alias("title"), F.col(author).alias("author"),
+        slug.alias("author_slug"), T.slug(F.col(title), cut=80).alias("title_slug"), F.col("_n").alias("word_count"), F.col(text).alias("text"))
+
+
 def complete(profile: Column, fields: list[str]) -> Column:
     """Whether all required fields of a map are set."""
     return F.forall(F.array(*map(F.lit, fields)), lambda k: F.try_element_at(profile, k).isNotNull())

@@ -162,6 +162,33 @@ def longest_definition(spark, d):
     return records.longest_by(docs(spark, d).select("source", "doc_id", "text"), "source", "text", "doc_id").select("source", "doc_id", F.length(F.coalesce("text", F.lit(""))).alias("n"))
 
 
+_AUTHOR = "CASE WHEN contains(coalesce(author, ''), ',') THEN concat_ws(' ', trim(regexp_extract(author, '^[^,]*,(.*)$', 1)), trim(regexp_extract(author, '^([^,]*),', 1))) ELSE coalesce(author, '') END"
+
+
+@query("projected_books", f"""
+WITH c AS (SELECT DISTINCT chunk_id, text, title, author, {X.wc("coalesce(text, '')")} AS n FROM chunks),
+s AS (SELECT *, regexp_replace(regexp_replace(lower({_AUTHOR}), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS a,
+  regexp_replace(substring(regexp_replace(regexp_replace(lower(coalesce(title, '')), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g'), 1, 80), '_+$', '', 'g') AS t FROM c WHERE n >= 100)
+SELECT chunk_id AS story_id, coalesce(nullif(a, ''), 'unknown_author') || ':' || chunk_id AS story_key, title, author, coalesce(nullif(a, ''), 'unknown_author') AS author_slug, coalesce(nullif(t, ''), 'untitled') AS title_slug, n AS word_count, md5(text) AS hash FROM s""")
+def projected_books(spark, d):
+    c = table(spark, d, "chunks").select("chunk_id", "text", "title", "author").distinct()
+    b = records.project_books(c, "text", "title", "author", "chunk_id")
+    return b.withColumn("hash", F.md5(F.col("text").cast("binary"))).drop("text")
+
+
+@query("resume_incomplete", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM subject_labels WHERE subject IS NOT NULL)")
+def resume_incomplete(spark, d):
+    return records.pending(docs(spark, d).select("doc_id"), table(spark, d, "subject_labels"), ["doc_id"], F.col("subject").isNotNull())
+
+
+@query("resumed_records", "SELECT n_nationkey, n_name, count(*) AS n FROM nation GROUP BY ALL")
+def resumed_records(spark, d):
+    path, n = f"{resume._folder(spark)}/log", table(spark, d, "nation").select("n_nationkey", "n_name")
+    for rows in (n.where("n_nationkey < 9"), n.where("n_nationkey < 20"), n):
+        resume.append_new(rows, path, ["n_nationkey"])
+    return spark.read.schema(n.schema).json(path).groupBy("n_nationkey", "n_name").agg(F.count("*").alias("n"))
+
+
 @query("complete_profiles", "SELECT DISTINCT chunk_id, author IS NOT NULL AND title IS NOT NULL AS complete FROM chunks")
 def complete_profiles(spark, d):
     profile = F.create_map(F.lit("author"), F.col("author"), F.lit("title"), F.col("title"))
@@ -288,8 +315,8 @@ def archive_cases(spark, d):
 _BODY = "Plain words of the body that go on for a while. " * 5
 
 
-@query("manuscript_cases", f"""SELECT * FROM (VALUES (0, 'Part One', 2, 'ONE', NULL, NULL, '{_BODY.strip()}'), (1, 'Chapter 2', 3, 'ONE', 2, NULL, '{_BODY.strip()}'), (2, '3.1 A checklist of things', 4, 'ONE', 2, '3.1',
-'A: Lexical' || chr(10) || '5 NOUN PHRASES. Are they simple or complex?' || chr(10) || '{_BODY.strip()}')) t(section_no, title, page, part, chapter, section_id, body)""")
+@query("manuscript_cases", f"""SELECT * FROM (VALUES (0, 'Part One', 2, 'ONE', NULL, NULL, '{_BODY.strip()}', ['general'], false), (1, 'Chapter 2', 3, 'ONE', 2, NULL, '{_BODY.strip()}', ['general'], false), (2, '3.1 A checklist of things', 4, 'ONE', 2, '3.1',
+'A: Lexical' || chr(10) || '5 NOUN PHRASES. Are they simple or complex?' || chr(10) || '{_BODY.strip()}', ['lexical'], true)) t(section_no, title, page, part, chapter, section_id, body, categories, is_checklist)""")
 def manuscript_cases(spark, d):
     text = f"Title\n<PAGE>\nHeader\nPART ONE\n{_BODY}\n12\n<PAGE>\nHeader\nCHAPTER 2\n{_BODY}\n<PAGE>\nHeader\n3.1 A checklist of things\nA: Lexical\n5 NOUN PHRASES. Are they simple or complex?\n{_BODY}"
     return manuscripts.manuscript_sections(spark.createDataFrame([(1, text)], "i int, t string"), "i", "t").drop("i")

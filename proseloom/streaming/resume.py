@@ -23,6 +23,15 @@ def process_available(spark: SparkSession, path: str, transform, out: str, check
     transform(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def append_new(df: DataFrame, path: str, keys: list[str]) -> None:
+    """Append the rows whose key the JSON lines at ``path`` do not hold yet; the folder may be missing."""
+    spark = df.sparkSession
+    if is_folder(spark, path):
+        done = spark.read.schema(df.select(*keys).schema).json(path)
+        df = cut_lineage(df.join(done.distinct(), keys, "left_anti"))  # read before it is written to
+    df.write.mode("append").json(path)
+
+
 def last_wins(appended: DataFrame, key: str, order: str) -> DataFrame:
     """One row per key of an at-least-once log: the latest; equal times are settled by the other columns."""
     rest = [c for c in appended.columns if c not in (key, order)]

@@ -145,6 +145,7 @@ def test_names_labels_and_manuscripts(spark):
     text = "Title\n<PAGE>\nHeader\nPART ONE\n" + body + "\n12\n<PAGE>\nHeader\nCHAPTER 2\n" + body + "\n<PAGE>\nHeader\n3.1 A checklist of things\nA: Lexical\n5 NOUN PHRASES. Are they simple or complex in this text?\n[see pp. 3]\nWhat do the adjectives do in the passage?\n" + body
     books = spark.createDataFrame([(1, text), (2, None), (3, ""), (4, body)], "i int, t string").selectExpr("*", "1 AS page", "'x' AS line")
     got = P.manuscript_sections(books, "i", "t").orderBy("i", "section_no").collect()
+    assert [s.is_checklist for s in got] == [False, False, True] and got[2].categories == ["lexical"]
     assert [(s.i, s.section_no, s.title, s.page, s.part, s.chapter, s.section_id) for s in got] == [
         (1, 0, "Part One", 2, "ONE", None, None), (1, 1, "Chapter 2", 3, "ONE", 2, None), (1, 2, "3.1 A checklist of things", 4, "ONE", 2, "3.1")]
     assert "Header" not in got[1].body and "12" not in got[0].body and got[0].body == body.strip()
