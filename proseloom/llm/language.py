@@ -445,8 +445,7 @@ def labelled(chunks: DataFrame, log: DataFrame) -> DataFrame:
     """Rows (chunk_id, verdict, language, share, confidence): every language with a share of the chunk's words."""
     arrays = boilerplate.node_arrays(boilerplate.nodes(chunks))
     bc, langs = _broadcast(chunks, log)
-    clean = boilerplate.strip(chunks.select("chunk_id", "source_dataset", "text"), arrays)
-    parts = quality.pieces(clean).mapInArrow(_partial(bc, langs), quality.PARTIAL + ", words array<long>, weight array<double>")
+    parts = quality.pieces(chunks, arrays).mapInArrow(_partial(bc, langs), quality.PARTIAL + ", words array<long>, weight array<double>")
     whole = quality.merge(parts, words=len(langs), weight=len(langs))
     total = sum(F.col(f"words{i}") for i in range(len(langs)))
     rows = F.array(*[F.struct(F.lit(x).alias("language"), F.col(f"words{i}").alias("w"), F.col(f"weight{i}").alias("c")) for i, x in enumerate(langs)])
@@ -494,5 +493,4 @@ def stretches(chunks: DataFrame, log: DataFrame) -> DataFrame:
                 pa.array(first[at], pa.int64()), pa.array(end[stop], pa.int64()), pa.array(n, pa.int64()), pa.array([langs[x] for x in lang[at]]), pa.array(conf, pa.float64())],
                 names=["chunk_id", "piece", "segment_no", "start_char", "end_char", "n_words", "language", "confidence"])
 
-    clean = boilerplate.strip(chunks.select("chunk_id", "source_dataset", "text"), arrays)
-    return quality.pieces(clean).mapInArrow(run, "chunk_id long, piece int, segment_no int, start_char long, end_char long, n_words long, language string, confidence double").distinct()
+    return quality.pieces(chunks, arrays).mapInArrow(run, "chunk_id long, piece int, segment_no int, start_char long, end_char long, n_words long, language string, confidence double").distinct()

@@ -249,12 +249,22 @@ def portions(batches, column: str = "text"):
 PIECES = "chunk_id long, piece int, start long, cut_left boolean, cut_right boolean, text string"
 
 
-def pieces(chunks: DataFrame) -> DataFrame:
-    """Texts as pieces of at most PIECE characters; only longer texts go through the cutter and are spread."""
-    rows = chunks.select("chunk_id", "text").where(F.col("text").rlike(r"(?U)\S"))  # neither null nor blank
-    short = rows.where(F.length("text") <= PIECE).select(
+def pieces(chunks: DataFrame, arrays: DataFrame | None = None) -> DataFrame:
+    """Texts, without the boilerplate lines of ``arrays``, as pieces of at most PIECE characters; only longer texts go through the cutter and are spread.
+
+    Lines only make a text shorter, so the second pass over the table for the long texts frees
+    no others of their lines.
+    """
+    from . import boilerplate
+
+    def clean(rows):
+        rows = rows if arrays is None else boilerplate.strip(rows, arrays)
+        return rows.select("chunk_id", "text").where(F.col("text").rlike(r"(?U)\S"))  # neither null nor blank
+
+    rows = chunks.select("chunk_id", "source_dataset", "text")
+    short = clean(rows).where(F.length("text") <= PIECE).select(
         "chunk_id", F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"), F.lit(False).alias("cut_left"), F.lit(False).alias("cut_right"), "text")
-    long = rows.where(F.length("text") > PIECE).mapInArrow(split_long, PIECES).repartition("chunk_id", "piece")
+    long = clean(rows.where(F.length("text") > PIECE)).where(F.length("text") > PIECE).mapInArrow(split_long, PIECES).repartition("chunk_id", "piece")
     return short.unionByName(long)
 
 
@@ -311,7 +321,8 @@ def merge(parts: DataFrame, **arrays: int) -> DataFrame:
     texts: the boundary states ride along and are empty for all but the longest texts.
     """
     extra = list(arrays)
-    one = parts.groupBy("chunk_id", "piece").agg(*[F.any_value(c).alias(c) for c in ("totals", "head", "tail", "through", *extra)])
+    # dealt out by text once, which serves both groupings; pieces of one text are few
+    one = parts.repartition("chunk_id").groupBy("chunk_id", "piece").agg(*[F.any_value(c).alias(c) for c in ("totals", "head", "tail", "through", *extra)])
     ends = F.when(F.col("head").isNotNull() | F.col("tail").isNotNull(), F.struct("piece", "head", "tail", "through"))
     sums = [F.sum(F.element_at("totals", i + 1)).alias(n) for i, n in enumerate(Counts.NAMES)]
     sums += [F.sum(F.element_at(c, i + 1)).alias(f"{c}{i}") for c, n in arrays.items() for i in range(n)]
@@ -339,10 +350,7 @@ def verdict(counts: DataFrame, *more: str) -> DataFrame:
 
 def stats(chunks: DataFrame, arrays: DataFrame) -> DataFrame:
     """Statistics and verdict of every chunk with text left, its source's boilerplate lines (``arrays``) left out."""
-    from . import boilerplate
-
-    clean = boilerplate.strip(chunks.select("chunk_id", "source_dataset", "text"), arrays)
-    return verdict(merge(partials(pieces(clean))))
+    return verdict(merge(partials(pieces(chunks, arrays))))
 
 
 def every_chunk(chunks: DataFrame, arrays: DataFrame) -> DataFrame:
