@@ -2,15 +2,19 @@
 
 Texts are reduced to their words in lower case, without their source's boilerplate lines.
 Equal word sequences form one class, so a group of exact copies is searched once, however
-large. Classes get minwise hashes of their three-word shingles; bands of them are the keys of
-an equi-join of evaluation against training classes. Candidates are sieved by their lengths
-and the shingle similarity that their hash sketches estimate, then verified on the words: the
-share of the longer text that stands in common passages alone decides.
+large. Classes get minwise hashes of their three-word shingles; bands of them are the keys by
+which evaluation classes meet training classes. Texts of one kind share so many shingles that
+the pairs that meet grow with the square of the table, so they are never written down: an entry
+of a band carries a histogram of its text's words, and only pairs whose lengths and histograms
+leave room for the wanted share of common words leave the task in which they meet. This sieve
+loses no case. The bands are dealt with in ROUNDS, and a round's shuffle files are removed before
+the next, so that the disk holds one round of them. The words verify: the share of the longer
+text that stands in common passages alone decides.
 
 By TESTDATA.md a case keeps at least four fifths of the longer text's words in passages of
 the same order. Every fifth word replaced leaves passages of four words, no five-word shingle
 and a three-word similarity of 0.25, so shingles are as long as the shortest passage, bands
-have two rows and the sieve lies three deviations below 0.25. Shingles that stand in very many
+have two rows. Shingles that stand in very many
 texts of a sample would make candidates of unrelated texts in such bands: minwise hashes rank
 them behind all others. Texts made of them for a good part (as are the many changed copies of
 one text) get further bands in which all shingles rank alike. Words keep their order within a
@@ -28,17 +32,22 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
-from ..session import cut_lineage
+from ..session import cut_lineage, forget
 from . import boilerplate, quality
 
 SHINGLE, BANDS, ROWS = 3, 60, 2
 KEEP = 0.8            # share of the longer text's words in common passages
-SKETCH = 72           # hashes of a sketch, in which all shingles rank alike
-EVEN_BANDS = 36       # bands of the sketch's hashes, for texts with EVEN_SHARE of common shingles or more
+EVEN_BANDS = 36       # bands of hashes in which all shingles rank alike, for texts with EVEN_SHARE of common shingles or more
 EVEN_SHARE = 0.35
-SIEVE = 0.1           # estimated similarity below which a candidate is dropped: 0.25 less three deviations of 72 hashes
+ROUNDS = 12           # at most, in which the bands are dealt with one after another
+ROUND_BYTES = 256 << 20  # entries of bands that are worth a round of their own
+BINS, LEVELS = 256, 4  # of the histogram of a text's words: a bit of a bin for each of its first words
+GROUP_BYTES = 32 << 20  # entries of bands that meet in one group, about
+PORTION_BYTES = 16 << 20  # of shingles hashed at once
+MEETINGS = 1 << 16    # pairs compared in one step
 SAMPLE = 20_000       # texts, at least, of which common shingles are counted
 COMMON = 0.003        # share of the sample's different texts, and
 COMMON_LEAST = 60     # texts at least, that hold a common shingle
@@ -106,22 +115,17 @@ def _members(h: np.ndarray, common: np.ndarray) -> np.ndarray:
     return out
 
 
-def signatures(texts: list[list[str]], common: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(texts x BANDS*ROWS) minwise hashes with ``common`` shingles (sorted) behind all others, (texts x SKETCH) with all alike, and each text's share of common shingles."""
-    h, starts = shingle_hashes(texts)
-    behind = _members(h, common)
+def signatures(h: np.ndarray, starts: np.ndarray, behind: np.ndarray, bands, even: bool) -> np.ndarray:
+    """(texts x ROWS*bands) minwise hashes of these bands; shingles marked in ``behind`` rank behind all others, with ``even`` all rank alike."""
     top = behind.astype(np.uint32) << np.uint32(31)
-    ranked = np.empty((len(texts), BANDS * ROWS), dtype=np.uint32)
-    alike = np.empty((len(texts), SKETCH), dtype=np.uint32)
-    for k in range(BANDS * ROWS):
+    out = np.empty((len(starts), ROWS * len(bands)), dtype=np.uint32)
+    for i, k in enumerate(ROWS * b + r for b in bands for r in range(ROWS)):
         x = _mixed(h, k)
-        if k < SKETCH:
-            alike[:, k] = np.minimum.reduceat(x, starts)
-        x >>= np.uint32(1)
-        x |= top
-        ranked[:, k] = np.minimum.reduceat(x, starts)
-    share = np.add.reduceat(behind.astype(np.int64), starts) / np.diff(np.append(starts, len(h)))
-    return ranked, alike, share
+        if not even:
+            x >>= np.uint32(1)
+            x |= top
+        out[:, i] = np.minimum.reduceat(x, starts)
+    return out
 
 
 def band_keys(sig: np.ndarray) -> np.ndarray:
@@ -163,32 +167,132 @@ def common_shingles(rows: DataFrame, arrays: DataFrame) -> np.ndarray:
     return np.sort(np.array([r.s for r in found.orderBy(F.desc("count"), "s").limit(COMMON_MOST).collect()], dtype=np.int32).view(np.uint32))
 
 
-def _features(common: np.ndarray):
-    """Class hash, number of words, sketch and band keys of each prose text with words."""
+def histograms(words: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """(bits, over): of each text, a bit for each of the first LEVELS words of each of BINS bins, and the number of all other words."""
+    bits, over = np.empty((len(words), BINS * LEVELS // 64), dtype=np.uint64), np.empty(len(words), dtype=np.int64)
+    ends = np.cumsum([len(w) for w in words])
+    bins = (pd.util.hash_array(np.array(list(chain.from_iterable(words)), dtype=object)) >> np.uint64(20)) % np.uint64(BINS)
+    for i, own in enumerate(np.split(bins.astype(np.int64), ends[:-1])):
+        n = np.bincount(own, minlength=BINS)
+        bits[i] = np.packbits(n > np.arange(LEVELS)[:, None]).view(np.uint64)
+        over[i] = np.maximum(n - LEVELS, 0).sum()
+    return bits, over
+
+
+def room(x: np.ndarray, y: np.ndarray, over: np.ndarray) -> np.ndarray:
+    """Words that pairs of texts can have in common at most, from their bits and the lesser number of their other words."""
+    n = np.bitwise_count(x & y).view(np.uint64)  # a byte for every 64 bits; added in pairs of bytes, then in sums of two bytes each
+    low = np.uint64(0x00FF00FF00FF00FF)
+    n = ((n & low) + ((n >> np.uint64(8)) & low)).sum(axis=1)
+    return ((n * np.uint64(0x0001000100010001)) >> np.uint64(48)).astype(np.int64) + over
+
+
+def _features(batches):
+    """Class hash, number of words, histogram and shingle hashes of each prose text with words."""
+    for b in quality.portions(batches):
+        ids, texts, splits = (b.column(c).to_pylist() for c in ("chunk_id", "text", "split"))
+        rows = [(i, s in EVALUATION, w) for i, t, s in zip(ids, texts, splits) if (w := words_of(t))]
+        if not rows:
+            continue
+        words = [r[2] for r in rows]
+        bits, over = histograms(words)
+        h, starts = shingle_hashes(words)
+        yield pa.RecordBatch.from_arrays([
+            pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.bool_()),
+            pa.array(_class_hashes(words), pa.int64()), pa.array([len(w) for w in words], pa.int32()), pa.array(over, pa.int32()),
+            pa.array([x.tobytes() for x in bits], pa.binary()), pa.array([x.tobytes() for x in np.split(h, starts[1:])], pa.binary())],
+            names=["chunk_id", "is_eval", "h", "n_words", "over", "bits", "shingles"])
+
+
+FEATURES = "chunk_id long, is_eval boolean, h long, n_words int, over int, bits binary, shingles binary"
+#: An entry of a band: band, key and number of words in one number, so that a band's texts lie by key and length; the words outside the bits, twice, and 1 for the evaluation side.
+ENTRY = np.dtype([("at", "<u8"), ("h", "<i8"), ("over", "<u4"), ("bits", "<u8", BINS * LEVELS // 64)])
+LENGTH_BITS = np.uint64(24)
+LENGTH_MOST = (1 << 24) - 1
+
+
+def _slices(batches):
+    """Arrow batches cut into slices of about PORTION_BYTES of shingles."""
+    for b in batches:
+        part = np.cumsum(pc.binary_length(b.column("shingles")).to_numpy(zero_copy_only=False).astype(np.int64)) // PORTION_BYTES
+        at = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), b.num_rows]
+        yield from (b.slice(x, y - x) for x, y in zip(at, at[1:]) if y > x)
+
+
+def _shingles(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, starts) as ``shingle_hashes`` gave them."""
+    n = pc.binary_length(b.column("shingles")).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+    return np.frombuffer(b"".join(b.column("shingles").to_pylist()), dtype=np.uint32), np.cumsum(n) - n
+
+
+def _entries(common: np.ndarray, turn: int, rounds: int, groups: int):
+    """The entries of the bands of one round, packed by the group in which equal keys meet."""
+    ranked, alike = range(turn, BANDS, rounds), range(turn, EVEN_BANDS, rounds)
+
     def run(batches):
-        for b in quality.portions(batches):
-            ids, texts, splits = (b.column(c).to_pylist() for c in ("chunk_id", "text", "split"))
-            rows = [(i, s in EVALUATION, w) for i, t, s in zip(ids, texts, splits) if (w := words_of(t))]
-            if not rows:
-                continue
-            words = [r[2] for r in rows]
-            ranked, alike, share = signatures(words, common)
-            even = share >= EVEN_SHARE
-            keys = np.concatenate([band_keys(ranked), band_keys(alike[:, :EVEN_BANDS * ROWS])], axis=1)
-            kept = np.ones(keys.shape, dtype=bool)
-            kept[~even, BANDS:] = False
-            ends = np.concatenate([[0], np.cumsum(kept.sum(axis=1))])
-            h = _class_hashes(words)
-            sketch = (alike & np.uint32(255)).astype(np.uint8)
+        for b in _slices(batches):
+            h, starts = _shingles(b)
+            behind = _members(h, common)
+            share = np.add.reduceat(behind.astype(np.int64), starts) / np.diff(np.append(starts, len(h)))
+            even = np.flatnonzero(share >= EVEN_SHARE)
+            keys = [(np.arange(len(starts)), ranked, band_keys(signatures(h, starts, behind, ranked, False)))]
+            if len(even) and len(alike):
+                own = np.repeat(share >= EVEN_SHARE, np.diff(np.append(starts, len(h))))
+                n = np.diff(np.append(starts, len(h)))[even]
+                keys.append((even, [BANDS + x for x in alike], band_keys(signatures(h[own], np.cumsum(n) - n, behind[own], alike, True))))
+            text = np.concatenate([np.repeat(rows, len(bands)) for rows, bands, _ in keys])
+            key = np.concatenate([(np.array(bands, dtype=np.uint64) << np.uint64(32)) + k.view(np.uint32) for _, bands, k in keys], axis=None)
+            group = (_fmix(key) % np.uint64(groups)).astype(np.int32)
+            order = np.argsort(group, kind="stable")
+            text, key, group = text[order], key[order], group[order]
+            column = lambda name: b.column(name).to_numpy(zero_copy_only=False)
+            out = np.empty(len(text), dtype=ENTRY)
+            out["at"] = (key << LENGTH_BITS) + np.minimum(column("n_words"), LENGTH_MOST).astype(np.uint64)[text]
+            out["h"] = column("h")[text]
+            out["over"] = (column("over").astype(np.uint32) * 2 + column("is_eval"))[text]
+            out["bits"] = np.frombuffer(b"".join(b.column("bits").to_pylist()), dtype=np.uint64).reshape(b.num_rows, -1)[text]
+            at = np.flatnonzero(np.diff(group, prepend=-1))
             yield pa.RecordBatch.from_arrays([
-                pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.bool_()),
-                pa.array(h, pa.int64()), pa.array([len(w) for w in words], pa.int32()), pa.array([x.tobytes() for x in sketch], pa.binary()),
-                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys[kept], pa.int32()))],
-                names=["chunk_id", "is_eval", "h", "n_words", "sketch", "bands"])
+                pa.array(group[at], pa.int32()), pa.array([x.tobytes() for x in np.split(out, at[1:])], pa.binary())], names=["g", "entries"])
     return run
 
 
-FEATURES = "chunk_id long, is_eval boolean, h long, n_words int, sketch binary, bands array<int>"
+def meet(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Classes (e, t) of different texts with an equal key of which either's length and words leave room for the share KEEP."""
+    def side(rows):
+        rows = rows[np.lexsort((rows["h"], rows["at"]))]
+        new = np.ones(len(rows), dtype=bool)
+        new[1:] = (rows["at"][1:] != rows["at"][:-1]) | (rows["h"][1:] != rows["h"][:-1])
+        return rows[new]  # copies of a text once
+
+    of_eval = (entries["over"] & 1).astype(bool)
+    e, t = side(entries[of_eval]), side(entries[~of_eval])
+    n, key = (e["at"] & np.uint64(LENGTH_MOST)).astype(np.int64), e["at"] & ~np.uint64(LENGTH_MOST)
+    least = np.where(n < LENGTH_MOST, np.ceil(n * KEEP - 1e-6), 0).astype(np.uint64)
+    most = np.minimum(np.floor(n / KEEP + 1e-6), LENGTH_MOST).astype(np.uint64)
+    lo, hi = np.searchsorted(t["at"], key + least, "left"), np.searchsorted(t["at"], key + most, "right")
+    some = np.flatnonzero(hi > lo)
+    ends = np.cumsum((hi - lo)[some])
+    xs, ys = [], []
+    ebits, tbits = np.ascontiguousarray(e["bits"]), np.ascontiguousarray(t["bits"])
+    eover, tover = (e["over"] >> 1).astype(np.int64), (t["over"] >> 1).astype(np.int64)
+    tn = (t["at"] & np.uint64(LENGTH_MOST)).astype(np.int64)
+    for begin in range(0, int(ends[-1]) if len(ends) else 0, MEETINGS):
+        k = np.arange(begin, min(begin + MEETINGS, int(ends[-1])))
+        i = np.searchsorted(ends, k, "right")
+        j = hi[some[i]] - (ends[i] - k)
+        i = some[i]
+        ok = room(ebits[i], tbits[j], np.minimum(eover[i], tover[j])) >= KEEP * np.maximum(n[i], tn[j]) - 1e-6
+        ok &= e["h"][i] != t["h"][j]
+        xs.append(e["h"][i[ok]])
+        ys.append(t["h"][j[ok]])
+    none = np.zeros(0, dtype=np.int64)
+    return np.concatenate([none, *xs]), np.concatenate([none, *ys])
+
+
+def _meet(group: pa.Table) -> pa.Table:
+    e, t = meet(np.frombuffer(b"".join(group.column("entries").to_pylist()), dtype=ENTRY))
+    return pa.table([pa.array(e, pa.int64()), pa.array(t, pa.int64())], names=["e", "t"])
 
 
 def _words(batches):
@@ -196,16 +300,6 @@ def _words(batches):
         yield pa.RecordBatch.from_arrays([b.column("h"), pa.array([" ".join(words_of(t)) for t in b.column("text").to_pylist()], pa.string())], names=["h", "words"])
 
 
-@F.arrow_udf(T.DoubleType())
-def _estimate(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Similarity that two sketches (a byte of each minwise hash) estimate."""
-    if not len(a):
-        return pa.array([], pa.float64())
-    x = np.frombuffer(b"".join(a.to_pylist()), dtype=np.uint8).reshape(len(a), -1)
-    y = np.frombuffer(b"".join(b.to_pylist()), dtype=np.uint8).reshape(len(b), -1)
-    return pa.array(((x == y).mean(axis=1) - 1 / 256) * 256 / 255)
-
-
 def jaccard(a: list[str], b: list[str]) -> float:
     grams = lambda w: {tuple(w[i:i + SHINGLE]) for i in range(max(1, len(w) - SHINGLE + 1))}
     x, y = grams(a), grams(b)
@@ -284,35 +378,36 @@ def _checked(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def classes(chunks: DataFrame, arrays: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members, classes): chunk_id, is_eval, h; and per class h one chunk_id, its number of words, sketch, bands and the sides it stands on.
+def features(rows: DataFrame, arrays: DataFrame) -> DataFrame:
+    """FEATURES of every row that has words and is prose, materialised."""
+    return cut_lineage(boilerplate.strip(rows, arrays).select("chunk_id", "text", "split").mapInArrow(_features, FEATURES))
 
-    Only classes of several members are grouped, so signatures of the others are not moved.
-    """
-    rows = chunks.where("split is not null and text is not null").select("chunk_id", "source_dataset", "text", "split")
-    common = common_shingles(rows, arrays)
-    feats = cut_lineage(boilerplate.strip(rows, arrays).select("chunk_id", "text", "split").mapInArrow(_features(common), FEATURES))
-    members = feats.select("chunk_id", "is_eval", "h").distinct()
-    multi = _checked(
-        members.groupBy("h").agg(F.count("*").alias("n"), F.min("chunk_id").alias("rep"), F.max("is_eval").alias("in_eval"), F.min("is_eval").alias("all_eval"))
-        .where("n > 1").drop("n"))
-    reps = feats.join(multi, "h", "left").where("rep is null or rep = chunk_id").select(
-        "h", "chunk_id", F.coalesce("in_eval", "is_eval").alias("in_eval"), (~F.coalesce("all_eval", "is_eval")).alias("in_train"), "n_words", "sketch", "bands")
-    return members, reps
+
+def candidates(feats: DataFrame, common: np.ndarray) -> DataFrame:
+    """(e, t): classes with an equal band that may keep the share KEEP; the shuffle files of one round of bands at a time."""
+    size = feats.count() * BANDS * ENTRY.itemsize
+    rounds = min(ROUNDS, 1 + size // ROUND_BYTES)
+    groups = 24 + size // rounds // GROUP_BYTES
+    found = None
+    for turn in range(rounds):
+        met = cut_lineage(feats.mapInArrow(_entries(common, turn, rounds, groups), "g int, entries binary").groupBy("g").applyInArrow(_meet, "e long, t long").distinct())
+        found = met if found is None else found.unionByName(met)
+        forget(feats.sparkSession)
+    return found.distinct()
 
 
 def linked_classes(chunks: DataFrame):
-    """(members, pairs): pairs of different classes (e, t, jaccard, kept), e on the evaluation and t on the training side."""
+    """(members, pairs): chunk_id, is_eval, h; and pairs of different classes (e, t, jaccard, kept), e on the evaluation and t on the training side."""
     arrays = boilerplate.node_arrays(boilerplate.nodes(chunks))
-    members, per = classes(chunks, arrays)
-    keys = lambda side, name: per.where(side).select(F.col("h").alias(name), F.posexplode("bands").alias("band", "key")).select(
-        name, (F.shiftleft(F.col("band").cast("long"), 32) + F.col("key")).alias("k"))
-    cand = keys("in_eval", "e").join(keys("in_train", "t"), "k").where("e <> t").select("e", "t").distinct()
-    sketch = lambda name: per.select(F.col("h").alias(name), F.col("sketch").alias("s" + name), F.col("n_words").alias("n" + name))
-    near = cand.join(sketch("e"), "e").join(sketch("t"), "t").where(F.least("ne", "nt") / F.greatest("ne", "nt") >= KEEP).where(_estimate("se", "st") >= SIEVE).select("e", "t").distinct()
-    near = cut_lineage(near)
-    ends = near.select(F.col("e").alias("h")).unionByName(near.select(F.col("t").alias("h"))).distinct()
-    ids = _checked(per.select("h", "chunk_id").join(ends, "h").groupBy("h").agg(F.min("chunk_id").alias("chunk_id")))
+    rows = chunks.where("split is not null and text is not null").select("chunk_id", "source_dataset", "text", "split")
+    common = common_shingles(rows, arrays)
+    feats = features(rows, arrays)
+    near = cut_lineage(candidates(feats, common))
+    members = cut_lineage(feats.select("chunk_id", "is_eval", "h").distinct())
+    del feats
+    forget(chunks.sparkSession)
+    ends = _checked(near.select(F.col("e").alias("h")).unionByName(near.select(F.col("t").alias("h"))).distinct())
+    ids = _checked(members.join(ends, "h").groupBy("h").agg(F.min("chunk_id").alias("chunk_id")))
     texts = boilerplate.strip(chunks.select("chunk_id", "source_dataset", "text").join(ids, "chunk_id"), arrays)
     words = cut_lineage(texts.select("h", "text").mapInArrow(_words, "h long, words string").groupBy("h").agg(F.any_value("words").alias("words")))
     side = lambda name: words.select(F.col("h").alias(name), F.col("words").alias("w" + name))

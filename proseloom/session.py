@@ -62,6 +62,14 @@ def cut_lineage(df, eager: bool = True):
     return df.checkpoint(eager)
 
 
+def forget(spark) -> None:
+    """Have the files of shuffles and checkpoints that nothing needs any more removed now, not when the driver happens to collect its garbage."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def join_slim(big, slim, on: str, by: str, broadcast: bool, how: str = "inner", salt: int = 16):
     """``big`` joined with ``slim``, which has one row per ``on``, where one key may hold much of ``big``.
 

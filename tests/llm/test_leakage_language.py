@@ -38,6 +38,38 @@ def test_finds_copies_with_scattered_changes(make_chunks):
     assert got <= want and len(got) >= 0.95 * len(want)
 
 
+def test_unrelated_texts_of_one_kind_are_no_candidates(make_chunks):
+    """Their shingles come from few patterns, so every text meets every other in some band; the pairs are not to be written down."""
+    rng = random.Random(23)
+    patterns = ["half of {} belongs to {}", "{} cannot trust a {}", "bring me {} or bring me the {}", "{} never wanted the {}", "take the {} and the {}"]
+    text = lambda: ". ".join(rng.choice(patterns).format(*(f"{rng.choice(WORDS)}{rng.choice('abcdefgh')}" for _ in "xy")) for _ in range(25)) + "."
+    rows = [{"chunk_id": i, "split": "test" if i % 3 else "train", "text": text()} for i in range(600)]
+    rows += [{"chunk_id": 1000 + i, "split": "train" if i % 3 else "test", "text": rows[i]["text"] + " The end."} for i in range(20)]
+    df = make_chunks(rows)
+    feats = K.features(df.select("chunk_id", "source_dataset", "text", "split"), K.boilerplate.node_arrays(K.boilerplate.nodes(df)))
+    near = K.candidates(feats, K.np.zeros(0, dtype=K.np.uint32))
+    assert 20 <= near.count() <= 200  # of 80,000 pairs, 14,500 of which share a band
+    assert {(r.chunk_id_1, r.chunk_id_2) for r in K.overlaps(df).collect()} >= {(i, 1000 + i) for i in range(20)}
+
+
+def test_the_sieve_of_meetings_loses_no_case():
+    rng = random.Random(29)
+    for _ in range(300):
+        a = [rng.choice(WORDS) for _ in range(rng.randrange(1, 400))]
+        b = list(a)
+        for _ in range(rng.randrange(0, len(a) // 4 + 1)):
+            i = rng.randrange(len(b) + 1)
+            b[i:i + rng.randrange(2)] = ["new"] * rng.randrange(2)
+        if not b:
+            continue
+        bits, over = K.histograms([a, b])
+        most = K.room(bits[:1], bits[1:], over.min(keepdims=True))[0]
+        assert most >= K.kept_share(a, b) * max(len(a), len(b)) - 1e-6
+        met = K.np.zeros(2, dtype=K.ENTRY)
+        met["at"], met["h"], met["over"], met["bits"] = [len(a), len(b)], [1, 2], over * 2 + [1, 0], bits
+        assert len(K.meet(met)[0]) == 1 or K.kept_share(a, b) < K.KEEP
+
+
 def test_most_kept_is_no_less_than_kept_share():
     rng = random.Random(4)
     for _ in range(50):
