@@ -9,8 +9,8 @@ wins. The confidence is the winner's relative saving of phrases against the next
 Training takes at most PER_LABEL labelled texts of each label, DEFAULTS unlabelled ones (both
 chosen by hash, up to MAX_TRAIN_CHARS each), and CHARS characters of each language, TOTAL_CHARS
 of all. Labels are partly wrong, so every training segment is parsed with the other half
-of the texts: from the rarest label up, a label whose segments the other languages explain
-nearly as well (less than FOREIGN times the phrases) is no language of its own, and a segment
+of the texts: a label whose segments the other languages explain nearly as well (less than
+FOREIGN times the phrases) is no language of its own, the one needed least first, and a segment
 teaches the language that most of its text is in. A label needs texts in both halves, two at least.
 
 Null, blank and wordless texts get no language. Rows delivered again count once. Labels in
@@ -299,12 +299,13 @@ def parse(parser: Parser, owner: np.ndarray, flat: list[list[str]]):
 
 
 def _filled(by: dict[str, list[list[str]]], part: float) -> dict[str, list[str]]:
-    """Running text of each language up to its bound, whole segments."""
+    """Running text of each language up to its bound, whole segments from all over its texts, so that no few of them decide."""
     most = part * min(CHARS, TOTAL_CHARS / max(1, len(by)))
     out = {}
     for x, segs in by.items():
         taken, kept = 0, []
-        for s in map(running, segs):
+        step = max(1, int(sum(len(w) + 1 for s in segs for w in s) / most))
+        for s in map(running, chain.from_iterable(segs[i::step] for i in range(step))):
             if taken + len(s) > most:
                 break
             kept.append(s)
@@ -348,16 +349,21 @@ def train(rows: list[tuple[str, str]]) -> Automaton:
 
     cost, sizes = crossed(labels, FIRST_LONGEST)
     live = list(range(len(names)))
-    amount = {j: int(sizes[labels == x].sum()) for j, x in enumerate(names)}
-    for j in sorted(live, key=lambda j: (amount[j], names[j])):
+    own = {j: np.flatnonzero(labels == x) for j, x in enumerate(names)}
+
+    def needed(j: int) -> float:
+        """Phrases of a label's segments without its own text over those with it."""
         rest = [i for i in live if i != j]
-        own = labels == names[j]
-        if names[j] == DEFAULT or not rest or not own.any():
-            continue
-        with_it = (cost[own][:, live].min(axis=1) * sizes[own]).sum()
-        without = (cost[own][:, rest].min(axis=1) * sizes[own]).sum()
-        if not without >= FOREIGN * with_it:  # also where a half has no text of the label
-            live = rest
+        with_it = (cost[np.ix_(own[j], live)].min(axis=1) * sizes[own[j]]).sum()
+        without = (cost[np.ix_(own[j], rest)].min(axis=1) * sizes[own[j]]).sum()
+        return without / with_it if np.isfinite(with_it) and with_it else 0.0  # a half may have no text of the label
+
+    while others := [j for j in live if names[j] != DEFAULT and len(live) > 1 and len(own[j])]:
+        # two labels on one language explain each other: the one that is needed least goes, which is the mixed one, and then the other is needed
+        least, j = min((needed(j), j) for j in others)
+        if least >= FOREIGN:
+            break
+        live = [i for i in live if i != j]
     names = [names[j] for j in live]
     texts = np.array(texts)
     cost = cost[:, live]

@@ -226,3 +226,20 @@ def test_rare_languages_are_learnt_and_false_labels_are_not():
     rng.shuffle(rows)
     assert L.train(rows).languages == ["de", "en", "es"]
     assert L.train([]).languages == ["en"]
+
+
+def test_languages_are_not_dropped_for_a_more_frequent_false_label():
+    rng = random.Random(9)
+
+    def fragment(x):
+        w = rng.choice(SAMPLES[x]).split()
+        i = rng.randrange(len(w) - 2)
+        return w[i:i + rng.randrange(2, 5)]
+
+    text = lambda x, n=6: ". ".join(" ".join(w for _ in range(4) for w in fragment(x)) for _ in range(n)) + "."
+    rows = [("en", text("en")) for _ in range(120)] + [(x, text(x)) for x in ("de", "es") for _ in range(30)] + [("ro", text(rng.choice(("de", "es")))) for _ in range(80)]
+    rng.shuffle(rows)
+    assert L.train(rows).languages == ["de", "en", "es"]
+    one = [[f"w{i}"] for i in range(1000)]
+    taken = L._filled({"x": one}, 100 / L.CHARS)["x"]  # segments of all texts, not the first ones
+    assert len(taken) > 10 and sum(int(s.strip()[1:]) >= 500 for s in taken) >= 0.3 * len(taken)
