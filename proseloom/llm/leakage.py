@@ -15,8 +15,8 @@ By TESTDATA.md a case keeps at least four fifths of the longer text's words in p
 the same order. Every fifth word replaced leaves passages of four words, no five-word shingle
 and a three-word similarity of 0.25, so shingles are as long as the shortest passage, bands
 have two rows. Shingles that stand in very many
-texts of a sample would make candidates of unrelated texts in such bands: minwise hashes rank
-them behind all others. Texts made of them for a good part (as are the many changed copies of
+texts would make candidates of unrelated texts in such bands: they are counted over all different
+texts, and minwise hashes rank them behind all others. Texts made of them for a good part (as are the many changed copies of
 one text) get further bands in which all shingles rank alike. Words keep their order within a
 passage; the passages may have changed places (the tables hold such copies with moved paragraphs).
 
@@ -33,6 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from ..session import cut_lineage, forget
@@ -46,10 +47,9 @@ ROUNDS = 12           # at most, in which the bands are dealt with one after ano
 ROUND_BYTES = 256 << 20  # entries of bands that are worth a round of their own
 BINS, LEVELS = 256, 4  # of the histogram of a text's words: a bit of a bin for each of its first words
 GROUP_BYTES = 32 << 20  # entries of bands that meet in one group, about
-PORTION_BYTES = 16 << 20  # of shingles hashed at once
+PORTION_BYTES = 16 << 20  # of shingles hashed or counted at once
 MEETINGS = 1 << 16    # pairs compared in one step
-SAMPLE = 20_000       # texts, at least, of which common shingles are counted
-COMMON = 0.003        # share of the sample's different texts, and
+COMMON = 0.003        # share of all different texts, and
 COMMON_LEAST = 60     # texts at least, that hold a common shingle
 COMMON_MOST = 100_000  # common shingles at most
 BROADCAST_ROWS = 500_000
@@ -146,27 +146,6 @@ def _class_hashes(words: list[list[str]]) -> np.ndarray:
     return pd.util.hash_array(np.array([" ".join(w) for w in words], dtype=object)).view(np.int64)
 
 
-def _sampled(batches):
-    """Class hash and different shingles of each prose text with words."""
-    for b in quality.portions(batches):
-        words = [w for t in b.column("text").to_pylist() if (w := words_of(t))]
-        if not words:
-            continue
-        h, starts = shingle_hashes(words)
-        sets = [np.unique(x).view(np.int32) for x in np.split(h, starts[1:])]
-        yield pa.RecordBatch.from_arrays([pa.array(_class_hashes(words), pa.int64()), pa.array(sets, pa.list_(pa.int32()))], names=["h", "shingles"])
-
-
-def common_shingles(rows: DataFrame, arrays: DataFrame) -> np.ndarray:
-    """Hashes of the shingles that stand in very many different texts, counted in a sample of SAMPLE to 2 x SAMPLE rows."""
-    every = max(1, rows.count() // SAMPLE)
-    some = boilerplate.strip(rows.where(F.pmod(F.xxhash64("chunk_id"), F.lit(every)) == 0), arrays)
-    per = cut_lineage(some.select("text").mapInArrow(_sampled, "h long, shingles array<int>").groupBy("h").agg(F.any_value("shingles").alias("shingles")))
-    least = max(COMMON_LEAST, COMMON * per.count())
-    found = per.select(F.explode("shingles").alias("s")).groupBy("s").count().where(F.col("count") >= least)
-    return np.sort(np.array([r.s for r in found.orderBy(F.desc("count"), "s").limit(COMMON_MOST).collect()], dtype=np.int32).view(np.uint32))
-
-
 def histograms(words: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
     """(bits, over): of each text, a bit for each of the first LEVELS words of each of BINS bins, and the number of all other words."""
     bits, over = np.empty((len(words), BINS * LEVELS // 64), dtype=np.uint64), np.empty(len(words), dtype=np.int64)
@@ -188,7 +167,8 @@ def room(x: np.ndarray, y: np.ndarray, over: np.ndarray) -> np.ndarray:
 
 
 def _features(batches):
-    """Class hash, number of words, histogram and shingle hashes of each prose text with words."""
+    """A number of the row, class hash, number of words, histogram and shingle hashes of each prose text with words."""
+    row = TaskContext.get().partitionId() << 40
     for b in quality.portions(batches):
         ids, texts, splits = (b.column(c).to_pylist() for c in ("chunk_id", "text", "split"))
         rows = [(i, s in EVALUATION, w) for i, t, s in zip(ids, texts, splits) if (w := words_of(t))]
@@ -198,13 +178,14 @@ def _features(batches):
         bits, over = histograms(words)
         h, starts = shingle_hashes(words)
         yield pa.RecordBatch.from_arrays([
-            pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.bool_()),
+            pa.array(np.arange(row, row + len(rows)), pa.int64()), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.bool_()),
             pa.array(_class_hashes(words), pa.int64()), pa.array([len(w) for w in words], pa.int32()), pa.array(over, pa.int32()),
             pa.array([x.tobytes() for x in bits], pa.binary()), pa.array([x.tobytes() for x in np.split(h, starts[1:])], pa.binary())],
-            names=["chunk_id", "is_eval", "h", "n_words", "over", "bits", "shingles"])
+            names=["row", "chunk_id", "is_eval", "h", "n_words", "over", "bits", "shingles"])
+        row += len(rows)
 
 
-FEATURES = "chunk_id long, is_eval boolean, h long, n_words int, over int, bits binary, shingles binary"
+FEATURES = "row long, chunk_id long, is_eval boolean, h long, n_words int, over int, bits binary, shingles binary"
 #: An entry of a band: band, key and number of words in one number, so that a band's texts lie by key and length; the words outside the bits, twice, and 1 for the evaluation side.
 ENTRY = np.dtype([("at", "<u8"), ("h", "<i8"), ("over", "<u4"), ("bits", "<u8", BINS * LEVELS // 64)])
 LENGTH_BITS = np.uint64(24)
@@ -225,6 +206,57 @@ def _shingles(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(b.column("shingles").to_pylist()), dtype=np.uint32), np.cumsum(n) - n
 
 
+def _often(h: np.ndarray, rows: int) -> pa.RecordBatch:
+    """The shingles of a block of ``rows`` texts that occur as often as in COMMON of its texts."""
+    s, n = np.unique(h, return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(s[n >= COMMON * rows - 1e-6].view(np.int32), pa.int32())], names=["s"])
+
+
+def _locally_common(batches):
+    """The shingles that are common in any block of a task's texts; what is so in no block is not so in the whole."""
+    full, own, rows, size = None, [], 0, 0
+    for b in _slices(batches):
+        h, _ = _shingles(b)
+        own, rows, size = [*own, h], rows + b.num_rows, size + h.nbytes
+        if size >= PORTION_BYTES:
+            if full:
+                yield _often(*full)
+            full, own, rows, size = (np.concatenate(own), rows), [], 0, 0
+    if full:  # the rest is no block of its own: in a few texts everything is common
+        own, rows = [full[0], *own], rows + full[1]
+    if own:
+        yield _often(np.concatenate(own), rows)
+
+
+def _counted(listed: np.ndarray):
+    """In how many texts of a task each of the ``listed`` (sorted) shingles stands."""
+    def run(batches):
+        total = np.zeros(len(listed), dtype=np.int64)
+        for b in _slices(batches):
+            h, starts = _shingles(b)
+            text = np.repeat(np.arange(len(starts), dtype=np.uint64), np.diff(np.append(starts, len(h))))
+            hit = _members(h, listed)
+            pairs = np.unique((text[hit] << np.uint64(32)) | h[hit])
+            total += np.bincount(np.searchsorted(listed, (pairs & np.uint64(0xFFFFFFFF)).astype(np.uint32)), minlength=len(listed))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(listed[some].view(np.int32), pa.int32()), pa.array(total[some], pa.int64())], names=["s", "n"])
+    return run
+
+
+def common_shingles(feats: DataFrame) -> np.ndarray:
+    """Hashes (sorted) of the shingles that stand in very many different texts, counted over all of them.
+
+    A text delivered or copied again counts once, by the first row of its class. Shingles that are
+    common in no block of texts are not common in the whole; all others are counted.
+    """
+    multi = _checked(feats.groupBy("h").agg(F.count("*").alias("n"), F.min("row").alias("first")).where("n > 1").drop("n"))
+    once = feats.select("row", "h", "shingles").join(multi, "h", "left").where("first is null or first = row").select("shingles")
+    least = max(COMMON_LEAST, COMMON * feats.select("h").distinct().count())
+    listed = np.unique(np.array([r.s for r in once.mapInArrow(_locally_common, "s int").distinct().collect()], dtype=np.int32).view(np.uint32))
+    found = once.mapInArrow(_counted(listed), "s int, n long").groupBy("s").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return np.sort(np.array([r.s for r in found.orderBy(F.desc("n"), "s").limit(COMMON_MOST).collect()], dtype=np.int32).view(np.uint32))
+
+
 def _entries(common: np.ndarray, turn: int, rounds: int, groups: int):
     """The entries of the bands of one round, packed by the group in which equal keys meet."""
     ranked, alike = range(turn, BANDS, rounds), range(turn, EVEN_BANDS, rounds)
@@ -400,9 +432,8 @@ def linked_classes(chunks: DataFrame):
     """(members, pairs): chunk_id, is_eval, h; and pairs of different classes (e, t, jaccard, kept), e on the evaluation and t on the training side."""
     arrays = boilerplate.node_arrays(boilerplate.nodes(chunks))
     rows = chunks.where("split is not null and text is not null").select("chunk_id", "source_dataset", "text", "split")
-    common = common_shingles(rows, arrays)
     feats = features(rows, arrays)
-    near = cut_lineage(candidates(feats, common))
+    near = cut_lineage(candidates(feats, common_shingles(feats)))
     members = cut_lineage(feats.select("chunk_id", "is_eval", "h").distinct())
     del feats
     forget(chunks.sparkSession)

@@ -52,6 +52,23 @@ def test_unrelated_texts_of_one_kind_are_no_candidates(make_chunks):
     assert {(r.chunk_id_1, r.chunk_id_2) for r in K.overlaps(df).collect()} >= {(i, 1000 + i) for i in range(20)}
 
 
+def test_common_shingles_are_counted_over_all_different_texts(spark, make_chunks, monkeypatch):
+    monkeypatch.setattr(K, "SAMPLE", 50, raising=False)  # of the sample that was taken before
+    rng = random.Random(31)
+    plain = lambda: story(rng, 20)
+    texts = [plain() + (" under the same old moon" if i % 5 == 0 else "") + (" far from home again" if i % 10 == 0 else "") for i in range(700)]
+    texts += [plain() + " copied words stand here"] * 400  # one text
+    rows = [{"chunk_id": i, "split": "train", "text": t} for i, t in enumerate(texts)]
+    df = make_chunks(rows + rows[:100]).select("chunk_id", "source_dataset", "text", "split").repartition(5)
+    feats = K.features(df, K.boilerplate.node_arrays(K.boilerplate.nodes(df)))
+    got = set(K.common_shingles(feats).tolist())
+    count = {}
+    for words in {tuple(K.words_of(t)) for t in texts}:
+        for h in set(K.shingle_hashes([list(words)])[0].tolist()):
+            count[h] = count.get(h, 0) + 1
+    assert got == {h for h, n in count.items() if n >= K.COMMON_LEAST} and len(got) >= 5
+
+
 def test_the_sieve_of_meetings_loses_no_case():
     rng = random.Random(29)
     for _ in range(300):
