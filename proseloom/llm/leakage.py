@@ -6,10 +6,13 @@ large. Classes get minwise hashes of their three-word shingles; bands of them ar
 which evaluation classes meet training classes. Texts of one kind share so many shingles that
 the pairs that meet grow with the square of the table, so they are never written down: an entry
 of a band carries a histogram of its text's words, and only pairs whose lengths and histograms
-leave room for the wanted share of common words leave the task in which they meet. This sieve
-loses no case. The bands are dealt with in ROUNDS, and a round's shuffle files are removed before
-the next, so that the disk holds one round of them. The words verify: the share of the longer
-text that stands in common passages alone decides.
+leave room for the wanted share of common words leave the task in which they meet. A text is
+sent once for every band, so an entry's histogram is narrow; the pairs that it leaves are sieved
+again by histograms of twice the size, kept with the texts. Neither sieve loses a case. A group in
+which entries meet is of one band, so what a text sends does not depend on how the bands are dealt
+out. They are dealt with in ROUNDS, and a round's shuffle files are removed before the next, so that
+the disk holds one round of them. The words verify: the share of the longer text that stands in
+common passages alone decides.
 
 By TESTDATA.md a case keeps at least four fifths of the longer text's words in passages of
 the same order. Every fifth word replaced leaves passages of four words, no five-word shingle
@@ -36,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
-from ..session import cut_lineage, forget
+from ..session import cut_lineage, forget, shuffle_mark
 from . import boilerplate, quality
 
 SHINGLE, BANDS, ROWS = 3, 60, 2
@@ -46,8 +49,10 @@ EVEN_SHARE = 0.35
 ROUNDS = 12           # at most, in which the bands are dealt with one after another
 ROUND_BYTES = 256 << 20  # entries of bands that are worth a round of their own
 BINS, LEVELS = 256, 4  # of the histogram of a text's words: a bit of a bin for each of its first words
+WIDE, NARROW = BINS * LEVELS // 64, BINS * 2 // 64  # longs of a histogram with a text, and in an entry
 GROUP_BYTES = 32 << 20  # entries of bands that meet in one group, about
 PORTION_BYTES = 16 << 20  # of shingles hashed or counted at once
+BLOCK = 1 << 15       # shingles ranked at once, which stay in the processor's cache
 MEETINGS = 1 << 16    # pairs compared in one step
 COMMON = 0.003        # share of all different texts, and
 COMMON_LEAST = 60     # texts at least, that hold a common shingle
@@ -70,11 +75,15 @@ def _fmix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def shingle_hashes(texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, starts): 32-bit shingle hashes of lists of words, flat, and where each text begins; no text is empty."""
+def word_hashes(texts: list[list[str]]) -> np.ndarray:
+    """64-bit hashes of all words, flat."""
+    return pd.util.hash_array(np.array(list(chain.from_iterable(texts)), dtype=object)).astype(np.uint64)
+
+
+def shingle_hashes(texts: list[list[str]], h: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, starts): 32-bit shingle hashes of lists of words, flat, and where each text begins; no text is empty. ``h``: their ``word_hashes``."""
     n = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-    flat = np.array(list(chain.from_iterable(texts)), dtype=object)
-    h = pd.util.hash_array(flat).astype(np.uint64)
+    h = word_hashes(texts) if h is None else h
     start = np.cumsum(n) - n
     acc = np.zeros(len(h), dtype=np.uint64)
     padded = np.concatenate([h, np.zeros(SHINGLE, dtype=np.uint64)])
@@ -104,27 +113,37 @@ def minhashes(texts: list[list[str]]) -> np.ndarray:
 
 
 def _members(h: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """Which hashes are in ``common`` (sorted): a bitmap of their leading bits first, then a look-up of the few that pass."""
+    """Which hashes are in ``common`` (sorted): a table of their leading bits first, then a comparison with those that begin alike."""
     out = np.zeros(len(h), dtype=bool)
     if len(common):
-        sieve = np.zeros(1 << 20, dtype=bool)
-        sieve[common >> np.uint32(12)] = True
-        at = np.flatnonzero(sieve[h >> np.uint32(12)])
-        spot = np.minimum(np.searchsorted(common, h[at]), len(common) - 1)
-        out[at] = common[spot] == h[at]
+        lead = (common >> np.uint32(12)).astype(np.int64)
+        alike = np.bincount(lead, minlength=1 << 20)
+        first = np.where(alike > 0, np.cumsum(alike) - alike, -1).astype(np.int32)
+        spot = first[h >> np.uint32(12)]
+        at = np.flatnonzero(spot >= 0)
+        own, spot = h[at], spot[at]
+        hit = np.zeros(len(at), dtype=bool)
+        for k in range(int(alike.max())):
+            hit |= common[np.minimum(spot + k, len(common) - 1)] == own
+        out[at] = hit
     return out
 
 
 def signatures(h: np.ndarray, starts: np.ndarray, behind: np.ndarray, bands, even: bool) -> np.ndarray:
     """(texts x ROWS*bands) minwise hashes of these bands; shingles marked in ``behind`` rank behind all others, with ``even`` all rank alike."""
-    top = behind.astype(np.uint32) << np.uint32(31)
     out = np.empty((len(starts), ROWS * len(bands)), dtype=np.uint32)
-    for i, k in enumerate(ROWS * b + r for b in bands for r in range(ROWS)):
-        x = _mixed(h, k)
-        if not even:
-            x >>= np.uint32(1)
-            x |= top
-        out[:, i] = np.minimum.reduceat(x, starts)
+    cuts = [*np.unique(np.searchsorted(starts, np.arange(0, len(h), BLOCK))).tolist(), len(starts)]
+    for a, b in zip(cuts, cuts[1:]):
+        if a == b:
+            continue
+        at = slice(starts[a], starts[b] if b < len(starts) else len(h))
+        own, begin, top = h[at], starts[a:b] - starts[a], behind[at].astype(np.uint32) << np.uint32(31)
+        for i, k in enumerate(ROWS * band + r for band in bands for r in range(ROWS)):
+            x = _mixed(own, k)
+            if not even:
+                x >>= np.uint32(1)
+                x |= top
+            out[a:b, i] = np.minimum.reduceat(x, begin)
     return out
 
 
@@ -146,18 +165,34 @@ def _class_hashes(words: list[list[str]]) -> np.ndarray:
     return pd.util.hash_array(np.array([" ".join(w) for w in words], dtype=object)).view(np.int64)
 
 
-def histograms(words: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-    """(bits, over): of each text, a bit for each of the first LEVELS words of each of BINS bins, and the number of all other words."""
-    bits, over = np.empty((len(words), BINS * LEVELS // 64), dtype=np.uint64), np.empty(len(words), dtype=np.int64)
-    ends = np.cumsum([len(w) for w in words])
-    bins = (pd.util.hash_array(np.array(list(chain.from_iterable(words)), dtype=object)) >> np.uint64(20)) % np.uint64(BINS)
-    for i, own in enumerate(np.split(bins.astype(np.int64), ends[:-1])):
-        n = np.bincount(own, minlength=BINS)
-        bits[i] = np.packbits(n > np.arange(LEVELS)[:, None]).view(np.uint64)
-        over[i] = np.maximum(n - LEVELS, 0).sum()
+def word_bits(n: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bits, over): of each text of ``n`` words, a bit for each of the first LEVELS words of each of BINS bins, and the number of all other words; ``h``: their hashes, flat."""
+    bits, over = np.empty((len(n), WIDE), dtype=np.uint64), np.empty(len(n), dtype=np.int64)
+    bins = ((h >> np.uint64(20)) % np.uint64(BINS)).astype(np.int64)
+    ends = np.cumsum(n)
+    for a in range(0, len(n), 512):
+        own = n[a:a + 512]
+        cells = np.repeat(np.arange(len(own)) * BINS, own) + bins[ends[a] - n[a]:ends[a + len(own) - 1]]
+        count = np.bincount(cells, minlength=len(own) * BINS).reshape(-1, 1, BINS)
+        bits[a:a + 512] = np.packbits(count > np.arange(LEVELS)[:, None], axis=2).reshape(len(own), -1).view(np.uint64)
+        over[a:a + 512] = np.maximum(count - LEVELS, 0).sum(axis=(1, 2))
     return bits, over
 
 
+def narrowed(bits: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bits, over) of half the size: a bit for the first word of each bin, and for the next two words of each two bins."""
+    one, two, three = (bits[:, x * BINS // 64:(x + 1) * BINS // 64] for x in range(3))
+    (a, b), (c, d) = np.split(two, 2, axis=1), np.split(three, 2, axis=1)
+    out = np.concatenate([one, a | b, (a & b) | c | d], axis=1)
+    return out, n - np.bitwise_count(out).sum(axis=1, dtype=np.int64)
+
+
+def histograms(words: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """(bits, over) of each text as its entries carry them."""
+    n = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    return narrowed(word_bits(n, word_hashes(words))[0], n)
+
+
 def room(x: np.ndarray, y: np.ndarray, over: np.ndarray) -> np.ndarray:
     """Words that pairs of texts can have in common at most, from their bits and the lesser number of their other words."""
     n = np.bitwise_count(x & y).view(np.uint64)  # a byte for every 64 bits; added in pairs of bytes, then in sums of two bytes each
@@ -175,8 +210,9 @@ def _features(batches):
         if not rows:
             continue
         words = [r[2] for r in rows]
-        bits, over = histograms(words)
-        h, starts = shingle_hashes(words)
+        hashes = word_hashes(words)
+        bits, over = word_bits(np.fromiter(map(len, words), dtype=np.int64, count=len(words)), hashes)
+        h, starts = shingle_hashes(words, hashes)
         yield pa.RecordBatch.from_arrays([
             pa.array(np.arange(row, row + len(rows)), pa.int64()), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.bool_()),
             pa.array(_class_hashes(words), pa.int64()), pa.array([len(w) for w in words], pa.int32()), pa.array(over, pa.int32()),
@@ -186,8 +222,8 @@ def _features(batches):
 
 
 FEATURES = "row long, chunk_id long, is_eval boolean, h long, n_words int, over int, bits binary, shingles binary"
-#: An entry of a band: band, key and number of words in one number, so that a band's texts lie by key and length; the words outside the bits, twice, and 1 for the evaluation side.
-ENTRY = np.dtype([("at", "<u8"), ("h", "<i8"), ("over", "<u4"), ("bits", "<u8", BINS * LEVELS // 64)])
+#: An entry of a band: band, key and number of words in one number, so that a band's texts lie by key and length; the words outside the narrow bits, twice, and 1 for the evaluation side.
+ENTRY = np.dtype([("at", "<u8"), ("h", "<i8"), ("over", "<u4"), ("bits", "<u8", NARROW)])
 LENGTH_BITS = np.uint64(24)
 LENGTH_MOST = (1 << 24) - 1
 
@@ -200,10 +236,19 @@ def _slices(batches):
         yield from (b.slice(x, y - x) for x, y in zip(at, at[1:]) if y > x)
 
 
+def _flat(a: pa.Array, kind) -> np.ndarray:
+    """The values of a binary column without nulls, one after another, as numbers."""
+    if not len(a):
+        return np.zeros(0, dtype=kind)
+    _, ends, values = a.buffers()
+    ends = np.frombuffer(ends, dtype=np.int64 if pa.types.is_large_binary(a.type) else np.int32)[a.offset:a.offset + len(a) + 1]
+    return np.frombuffer(memoryview(values)[ends[0]:ends[-1]], dtype=kind)
+
+
 def _shingles(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, starts) as ``shingle_hashes`` gave them."""
     n = pc.binary_length(b.column("shingles")).to_numpy(zero_copy_only=False).astype(np.int64) // 4
-    return np.frombuffer(b"".join(b.column("shingles").to_pylist()), dtype=np.uint32), np.cumsum(n) - n
+    return _flat(b.column("shingles"), np.uint32), np.cumsum(n) - n
 
 
 def _often(h: np.ndarray, rows: int) -> pa.RecordBatch:
@@ -258,8 +303,9 @@ def common_shingles(feats: DataFrame) -> np.ndarray:
 
 
 def _entries(common: np.ndarray, turn: int, rounds: int, groups: int):
-    """The entries of the bands of one round, packed by the group in which equal keys meet."""
+    """The entries of the bands of one round, packed by the group in which equal keys meet; some ``groups`` in all, each of one band."""
     ranked, alike = range(turn, BANDS, rounds), range(turn, EVEN_BANDS, rounds)
+    each = -(-groups // len(ranked))
 
     def run(batches):
         for b in _slices(batches):
@@ -274,15 +320,16 @@ def _entries(common: np.ndarray, turn: int, rounds: int, groups: int):
                 keys.append((even, [BANDS + x for x in alike], band_keys(signatures(h[own], np.cumsum(n) - n, behind[own], alike, True))))
             text = np.concatenate([np.repeat(rows, len(bands)) for rows, bands, _ in keys])
             key = np.concatenate([(np.array(bands, dtype=np.uint64) << np.uint64(32)) + k.view(np.uint32) for _, bands, k in keys], axis=None)
-            group = (_fmix(key) % np.uint64(groups)).astype(np.int32)
+            group = ((key >> np.uint64(32)) * np.uint64(each) + _fmix(key) % np.uint64(each)).astype(np.int32)
             order = np.argsort(group, kind="stable")
             text, key, group = text[order], key[order], group[order]
             column = lambda name: b.column(name).to_numpy(zero_copy_only=False)
+            bits, over = narrowed(_flat(b.column("bits"), np.uint64).reshape(-1, WIDE), column("n_words"))
             out = np.empty(len(text), dtype=ENTRY)
             out["at"] = (key << LENGTH_BITS) + np.minimum(column("n_words"), LENGTH_MOST).astype(np.uint64)[text]
             out["h"] = column("h")[text]
-            out["over"] = (column("over").astype(np.uint32) * 2 + column("is_eval"))[text]
-            out["bits"] = np.frombuffer(b"".join(b.column("bits").to_pylist()), dtype=np.uint64).reshape(b.num_rows, -1)[text]
+            out["over"] = (over.astype(np.uint32) * 2 + column("is_eval"))[text]
+            out["bits"] = bits[text]
             at = np.flatnonzero(np.diff(group, prepend=-1))
             yield pa.RecordBatch.from_arrays([
                 pa.array(group[at], pa.int32()), pa.array([x.tobytes() for x in np.split(out, at[1:])], pa.binary())], names=["g", "entries"])
@@ -415,6 +462,22 @@ def features(rows: DataFrame, arrays: DataFrame) -> DataFrame:
     return cut_lineage(boilerplate.strip(rows, arrays).select("chunk_id", "text", "split").mapInArrow(_features, FEATURES))
 
 
+@F.arrow_udf(T.BooleanType())
+def _has_room(x: pa.Array, y: pa.Array, over: pa.Array, longer: pa.Array) -> pa.Array:
+    number = lambda a: a.to_numpy(zero_copy_only=False).astype(np.int64)
+    bits = lambda a: _flat(a, np.uint64).reshape(len(a), WIDE)
+    return pa.array(room(bits(x), bits(y), number(over)) >= KEEP * number(longer) - 1e-6)
+
+
+def sieved(met: DataFrame, feats: DataFrame) -> DataFrame:
+    """The pairs (e, t) of ``met``, materialised, whose whole histograms leave room for the share KEEP."""
+    ends = _checked(met.select(F.col("e").alias("h")).unionByName(met.select(F.col("t").alias("h"))).distinct())
+    own = feats.select("h", "n_words", "over", "bits").join(ends, "h").groupBy("h").agg(F.any_value(F.struct("n_words", "over", "bits")).alias("o"))
+    side = lambda name: own.select(F.col("h").alias(name), F.col("o").alias("o" + name))
+    return met.join(side("e"), "e").join(side("t"), "t").where(
+        _has_room("oe.bits", "ot.bits", F.least("oe.over", "ot.over"), F.greatest("oe.n_words", "ot.n_words"))).select("e", "t")
+
+
 def candidates(feats: DataFrame, common: np.ndarray) -> DataFrame:
     """(e, t): classes with an equal band that may keep the share KEEP; the shuffle files of one round of bands at a time."""
     size = feats.count() * BANDS * ENTRY.itemsize
@@ -422,10 +485,11 @@ def candidates(feats: DataFrame, common: np.ndarray) -> DataFrame:
     groups = 24 + size // rounds // GROUP_BYTES
     found = None
     for turn in range(rounds):
+        mark = shuffle_mark(feats.sparkSession)
         met = cut_lineage(feats.mapInArrow(_entries(common, turn, rounds, groups), "g int, entries binary").groupBy("g").applyInArrow(_meet, "e long, t long").distinct())
         found = met if found is None else found.unionByName(met)
-        forget(feats.sparkSession)
-    return found.distinct()
+        forget(feats.sparkSession, mark)
+    return sieved(cut_lineage(found.distinct()), feats)
 
 
 def linked_classes(chunks: DataFrame):
@@ -433,6 +497,7 @@ def linked_classes(chunks: DataFrame):
     arrays = boilerplate.node_arrays(boilerplate.nodes(chunks))
     rows = chunks.where("split is not null and text is not null").select("chunk_id", "source_dataset", "text", "split")
     feats = features(rows, arrays)
+    forget(chunks.sparkSession)
     near = cut_lineage(candidates(feats, common_shingles(feats)))
     members = cut_lineage(feats.select("chunk_id", "is_eval", "h").distinct())
     del feats

@@ -62,12 +62,36 @@ def cut_lineage(df, eager: bool = True):
     return df.checkpoint(eager)
 
 
-def forget(spark) -> None:
-    """Have the files of shuffles and checkpoints that nothing needs any more removed now, not when the driver happens to collect its garbage."""
+def shuffle_mark(spark) -> int:
+    """A number greater than that of any shuffle so far and less than that of any to come."""
+    return spark.sparkContext._jsc.sc().newShuffleId()
+
+
+def forget(spark, since: int | None = None, seconds: float = 5) -> bool:
+    """Have the files of shuffles and checkpoints that nothing needs any more removed now, not when the driver happens to collect its garbage.
+
+    Python lets go of Spark's objects, and Spark removes the files, in the background. With ``since``, a ``shuffle_mark``, this waits until no
+    shuffle after it is kept, lest the next step writes its files beside the old ones; for
+    ``seconds`` at most, as other queries may keep some. Whether all are gone is returned.
+    """
     import gc
+    import time
 
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    if since is None:
+        return False
+    tracker, numbers = spark.sparkContext._jsc.sc().env().mapOutputTracker(), range(since + 1, shuffle_mark(spark))
+    end = time.monotonic() + seconds
+    turn = 0
+    while kept := any(tracker.containsShuffle(i) for i in numbers):
+        if time.monotonic() > end:
+            break
+        time.sleep(0.1)
+        turn += 1
+        if turn % 5 == 0:
+            spark.sparkContext._jvm.System.gc()
+    return not kept
 
 
 def join_slim(big, slim, on: str, by: str, broadcast: bool, how: str = "inner", salt: int = 16):

@@ -87,6 +87,52 @@ def test_the_sieve_of_meetings_loses_no_case():
         assert len(K.meet(met)[0]) == 1 or K.kept_share(a, b) < K.KEEP
 
 
+def test_entries_of_a_text_take_as_much_in_any_number_of_rounds():
+    """In one round for a small table and in twelve for a large one; as Spark compresses them."""
+    import pyarrow as pa
+
+    rng = random.Random(37)
+    words = [K.words_of(story(rng, rng.randrange(60, 140))) for _ in range(300)]
+    n = K.np.array([len(w) for w in words], dtype=K.np.int32)
+    h, starts = K.shingle_hashes(words)
+    if hasattr(K, "word_bits"):
+        bits, over = K.word_bits(n, K.word_hashes(words))
+    else:
+        bits, over = K.histograms(words)
+    batch = pa.RecordBatch.from_arrays([
+        pa.array(range(300), pa.int64()), pa.array([i % 5 == 0 for i in range(300)]), pa.array(n), pa.array(over, pa.int32()), pa.array([x.tobytes() for x in bits], pa.binary()),
+        pa.array([x.tobytes() for x in K.np.split(h, starts[1:])], pa.binary())], names=["h", "is_eval", "n_words", "over", "bits", "shingles"])
+    size = {}
+    for rounds in (1, 12):
+        out = [x for turn in range(rounds) for b in K._entries(K.np.zeros(0, dtype=K.np.uint32), turn, rounds, 30)([batch]) for x in b.column("entries").to_pylist()]
+        assert sum(map(len, out)) == 300 * K.BANDS * K.ENTRY.itemsize
+        size[rounds] = sum(len(pa.compress(x[i:i + 32768], codec="lz4_raw", asbytes=True)) for x in out for i in range(0, len(x), 32768))
+    assert size[12] <= 1.1 * size[1] and size[12] <= 300 * K.BANDS * 90
+
+
+def test_whole_histograms_are_no_looser_than_narrow_ones_and_lose_no_case():
+    rng = random.Random(41)
+    for _ in range(200):
+        a = [rng.choice(WORDS + ["the"] * 30) for _ in range(rng.randrange(1, 900))]
+        b = [w if rng.random() < 0.8 else rng.choice(WORDS) for w in a]
+        n = K.np.array([len(a), len(b)])
+        bits, over = K.word_bits(n, K.word_hashes([a, b]))
+        narrow, rest = K.narrowed(bits, n)
+        whole = K.room(bits[:1], bits[1:], over.min(keepdims=True))[0]
+        assert K.kept_share(a, b) * len(a) - 1e-6 <= whole <= K.room(narrow[:1], narrow[1:], rest.min(keepdims=True))[0]
+
+
+def test_files_of_a_round_are_removed_before_the_next(spark):
+    from proseloom.session import forget, shuffle_mark
+
+    mark = shuffle_mark(spark)
+    met = spark.range(1000).groupBy((K.F.col("id") % 10).alias("k")).count().checkpoint()
+    tracker = spark.sparkContext._jsc.sc().env().mapOutputTracker()
+    made = [i for i in range(mark + 1, shuffle_mark(spark)) if tracker.containsShuffle(i)]
+    assert made and forget(spark, mark, 30)
+    assert not any(map(tracker.containsShuffle, made)) and met.count() == 10
+
+
 def test_most_kept_is_no_less_than_kept_share():
     rng = random.Random(4)
     for _ in range(50):
